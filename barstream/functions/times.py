@@ -36,7 +36,8 @@ def parse_time(text: Column | str) -> Column:
     cast; only texts with a numeric offset go through an instant.
     """
     text = _column(text)
-    return F.when(text.rlike(_OFFSET), utc_wall_clock(text.try_cast("timestamp"))).otherwise(
+    shifted = ~text.endswith("Z") & text.rlike(_OFFSET)
+    return F.when(shifted, utc_wall_clock(text.try_cast("timestamp"))).otherwise(
         text.try_cast("timestamp_ntz")
     )
 

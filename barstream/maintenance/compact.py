@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import staged
 from .files import dataset_files, stats_of
 from .swap import Exchange, plain_path
 
@@ -43,7 +44,9 @@ def compact(
     listing = dataset_files(spark, path)
     partitions = [c for c in listing.columns if c not in ("file_path", "file_size_in_bytes")]
     before = stats_of(listing).first()
-    plan = _slots(_row_counts(data, partitions, where), partitions, int(target_mb * 1024 * 1024))
+    counts = _row_counts(data, partitions, where)
+    # One row per file, used several times: stored once.
+    plan = staged(_slots(counts, partitions, int(target_mb * 1024 * 1024)), "compaction-plan")
     totals = plan.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("files"),

@@ -6,45 +6,69 @@ stream, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from decimal import Decimal
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import parse_time
-from ..schema import BAR, BAR_ARRAY, BAR_COLUMNS, BAR_FIELDS, BAR_TYPE, WIRE_NAMES
+from ..schema import BAR, BAR_COLUMNS, BAR_FIELDS, BAR_TYPE, WIRE_NAMES, WIRE_OF
 
 MODES = ("permissive", "strict")
 
-#: Column that ``parse_messages`` adds.
-PARSED = "bars"
-
-_TEXT_MAPS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+# The range of the strict mode's trade count.
 _INT_RANGE = (-(2**31), 2**31 - 1)
+_BIGINT_RANGE = (-(2**63), 2**63 - 1)
+
+_NAMED_BARS = T.ArrayType(
+    T.StructType([T.StructField(name, kind) for _, name, kind in BAR_FIELDS])
+)
+_FIELD_MAPS = T.ArrayType(T.MapType(T.StringType(), T.VariantType()))
 
 
-def parse_messages(df: DataFrame, mode: str = "permissive") -> DataFrame:
-    """Add ``bars``: the parsed array, or NULL for a message that is rejected.
+def parsed_bars(mode: str = "permissive", columns: Sequence[str] = BAR_COLUMNS) -> Column:
+    """The array of bars in ``value``, or NULL for a message that is rejected.
 
     ``permissive`` keeps whatever can be read: unknown fields are ignored, a
     field of the wrong type becomes NULL, a lone object counts as an array of
     one.  ``strict`` rejects the whole message in those cases, coerces numbers
     the way typed deserialisers do and reads an absent number as 0.
     A ``null`` element yields no bar in either mode.
+
+    ``columns`` limits the fields that are converted, except in ``strict`` mode,
+    which has to see them all; what is rejected does not depend on it.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     text = F.col("value").cast("string")
-    parsed = _strict(text) if mode == "strict" else F.from_json(text, BAR_ARRAY)
-    return df.withColumn(PARSED, F.filter(parsed, lambda bar: bar.isNotNull()))
+    if mode == "strict":
+        parsed = _strict(text)
+    else:
+        parsed = F.from_json(text, T.ArrayType(T.StructType([BAR[WIRE_OF[c]] for c in columns])))
+    return F.filter(parsed, lambda bar: bar.isNotNull())
 
 
-def explode_parsed(df: DataFrame, only_bars: bool = False, typed_time: bool = True) -> DataFrame:
-    """One row per element of ``bars``, with the message ``key`` kept when present."""
+def explode_bars(
+    df: DataFrame,
+    bars: Column,
+    only_bars: bool = False,
+    typed_time: bool = True,
+    columns: Sequence[str] = BAR_COLUMNS,
+) -> DataFrame:
+    """One row per element of ``bars``, with the message ``key`` kept when present.
+
+    The array is given as an expression: behind a column of its own the optimiser
+    would test it for emptiness first, and parse every message again to do so.
+    """
     keep = [F.col("key").cast("string")] if "key" in df.columns else []
-    rows = df.select(*keep, F.inline(PARSED)).toDF(*(["key"] if keep else []), *BAR_COLUMNS)
+    rows = df.select(*keep, F.inline(bars)).toDF(*(["key"] if keep else []), *columns)
     if only_bars:
         rows = rows.filter(F.col("bar_type") == BAR_TYPE)
-    if typed_time:
+    if typed_time and "bar_time" in columns:
         rows = rows.withColumn("bar_time", parse_time("bar_time"))
     return rows
 
@@ -54,64 +78,157 @@ def flatten_messages(
     mode: str = "permissive",
     only_bars: bool = False,
     typed_time: bool = True,
+    columns: Sequence[str] = BAR_COLUMNS,
 ) -> DataFrame:
     """Flatten messages (``value`` = JSON array of bars) to the bar relation.
 
     ``only_bars`` drops control records.  ``typed_time=False`` leaves the time
-    as the text that came in, for sinks that pass it on unchanged.
+    as the text that came in, for sinks that pass it on unchanged.  ``columns``
+    names the bar columns wanted; fields of the others are not converted at all.
     """
-    return explode_parsed(parse_messages(df, mode), only_bars, typed_time)
+    read = [*columns, "bar_type"] if only_bars and "bar_type" not in columns else list(columns)
+    if mode == "strict":
+        read = BAR_COLUMNS
+    rows = explode_bars(df, parsed_bars(mode, read), only_bars, typed_time, read)
+    return rows.drop(*[c for c in read if c not in columns])
 
 
 def rejected_messages(df: DataFrame, mode: str = "permissive") -> DataFrame:
     """The messages ``flatten_messages`` gives no rows for because they cannot be read."""
-    bad = parse_messages(df.filter(F.col("value").isNotNull()), mode)
-    return bad.filter(F.col(PARSED).isNull()).drop(PARSED)
+    return df.filter(F.col("value").isNotNull() & parsed_bars(mode, ["symbol"]).isNull())
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often it is used."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _strict(text: Column) -> Column:
-    """Parse once as text maps; build the bars only if every element is acceptable.
+    """The strict reading of an array of bars.
 
-    The one-element array and its lambda bind the parsed value to a name, so the
-    JSON is parsed once although it is looked at several times.
+    Nearly every message is clean: each of its keys became a value, which a few
+    counts show, and the parsed array is the result.  Only other messages are
+    parsed again, field by field with their JSON types.
     """
-    maps = F.when(F.ltrim(text).startswith("["), F.from_json(text, _TEXT_MAPS))
-    return F.transform(
-        F.array(maps),
+    parsed = F.from_json(text, T.ArrayType(BAR)).cast(_NAMED_BARS)
+
+    def choose(bars: Column) -> Column:
+        values = F.aggregate(bars, F.lit(0), lambda n, bar: n + _values_in(bar))
+        return _bind(
+            values,
+            lambda found: F.when(
+                (F.size(bars) == 0) | ((found == _keys_if_flat(text)) & _is_flat(text, bars)),
+                F.when(found == F.size(bars) * len(BAR_FIELDS), bars).otherwise(
+                    F.transform(bars, _with_defaults)
+                ),
+            ).otherwise(_by_type(text)),
+        )
+
+    return F.when(text.rlike(r"^\s*\["), _bind(parsed, choose))
+
+
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def _is_flat(text: Column, bars: Column) -> Column:
+    """One array, one object per element, no other brackets."""
+    return (_count(text, "{") == F.size(bars)) & (_count(text, "[") == 1)
+
+
+def _keys_if_flat(text: Column) -> Column:
+    """Keys of a flat array of non-empty objects: one more than there are commas.
+
+    Commas and brackets inside values make the counts disagree, never agree.
+    """
+    return _count(text, ",") + 1
+
+
+def _values_in(bar: Column) -> Column:
+    """How many fields have a value; NULL for a bar that needs the exact reading."""
+    usual = bar["symbol"].isNotNull() & F.coalesce(
+        bar["trade_count"].between(*_INT_RANGE), F.lit(True)
+    )
+    present = [bar[name].isNotNull().cast("int") for name in BAR_COLUMNS]
+    return F.when(usual, reduce(add, present))
+
+
+def _with_defaults(bar: Column) -> Column:
+    def value(name: str, kind: T.DataType) -> Column:
+        return bar[name] if isinstance(kind, T.StringType) else F.coalesce(bar[name], _zero(kind))
+
+    filled = F.struct(*[value(name, kind).alias(name) for _, name, kind in BAR_FIELDS])
+    return F.when(bar.isNotNull(), filled)
+
+
+def _zero(kind: T.DataType) -> Column:
+    return F.lit(0).cast(kind)
+
+
+def _by_type(text: Column) -> Column:
+    """The bars if all fields of all elements are acceptable, else NULL."""
+    return _bind(
+        F.from_json(text, _FIELD_MAPS),
         lambda elements: F.when(
             F.forall(elements, lambda e: e.isNull() | _acceptable(e)),
-            F.transform(elements, lambda e: F.when(e.isNotNull(), _strict_bar(e))),
+            F.transform(elements, lambda e: F.when(e.isNotNull(), _typed_bar(e))),
         ),
-    )[0]
+    )
+
+
+def _field(element: Column, wire: str) -> Column:
+    """The last value given for a field."""
+    entries = F.filter(F.map_entries(element), lambda entry: entry["key"] == wire)
+    return F.try_element_at(entries, F.lit(-1))["value"]
+
+
+def _text_of(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
+def _number(value: Column, kind: T.DataType) -> Column:
+    """The number a value stands for, not yet cut to a whole one."""
+    text = F.trim(_text_of(value))
+    return text.try_cast("double" if isinstance(kind, T.DoubleType) else "decimal(38,10)")
 
 
 def _acceptable(element: Column) -> Column:
     known = F.array(*[F.lit(name) for name in WIRE_NAMES])
     accepted = F.size(F.array_except(F.map_keys(element), known)) == 0
     for wire, _, kind in BAR_FIELDS:
-        raw = F.trim(element[wire])
-        absent = raw.isNull() | (raw == "")
-        if isinstance(kind, T.DoubleType):
-            accepted &= absent | raw.try_cast("double").isNotNull()
-        elif isinstance(kind, T.LongType):
-            whole = _whole(raw)
-            fits = whole.between(*_INT_RANGE) if wire == "n" else whole.isNotNull()
-            accepted &= absent | F.coalesce(fits, F.lit(False))
+        value = _field(element, wire)
+        absent = value.isNull() | F.is_variant_null(value)
+        shape = F.schema_of_variant(value)
+        nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
+        if isinstance(kind, T.StringType):
+            good = ~nested
+        else:
+            blank = _is_text(value) & (F.trim(_text_of(value)) == "")
+            good = ~nested & (shape != "BOOLEAN") & (blank | _number_fits(value, wire, kind))
+        accepted &= absent | F.coalesce(good, F.lit(False))
     return accepted
 
 
-def _strict_bar(element: Column) -> Column:
-    def value(wire: str, kind: T.DataType) -> Column:
-        raw = element[wire]
-        if isinstance(kind, T.DoubleType):
-            return F.coalesce(F.trim(raw).try_cast("double"), F.lit(0.0))
-        if isinstance(kind, T.LongType):
-            return F.coalesce(_whole(F.trim(raw)), F.lit(0).cast("bigint"))
-        return raw
+def _number_fits(value: Column, wire: str, kind: T.DataType) -> Column:
+    number = _number(value, kind)
+    if isinstance(kind, T.DoubleType):
+        return number.isNotNull()
+    low, high = _INT_RANGE if wire == "n" else _BIGINT_RANGE
+    # A fraction is cut off, so the bounds themselves lie one further out.
+    inside = (number > F.lit(Decimal(low - 1))) & (number < F.lit(Decimal(high + 1)))
+    digits = ~_is_text(value) | F.trim(_text_of(value)).rlike(r"^[+-]?\d+$")
+    return F.coalesce(inside, F.lit(False)) & digits
 
-    return F.struct(*[value(wire, kind).alias(wire) for wire, _, kind in BAR_FIELDS]).cast(BAR)
 
+def _typed_bar(element: Column) -> Column:
+    def value(wire: str, kind: T.DataType) -> Column:
+        field = _field(element, wire)
+        if isinstance(kind, T.StringType):
+            return _text_of(field)
+        return F.coalesce(_number(field, kind).try_cast(kind), _zero(kind))
 
-def _whole(raw: Column) -> Column:
-    """A number text as bigint, its fraction cut off; NULL outside the range."""
-    return raw.try_cast("decimal(38,10)").try_cast("bigint")
+    return F.struct(*[value(wire, kind).alias(name) for wire, name, kind in BAR_FIELDS])

@@ -24,9 +24,7 @@ def normalise_bars(df: DataFrame) -> DataFrame:
 def _by_symbol(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """One row per (page, symbol): place in the page, symbol, array of bars."""
     page = F.from_json(F.col("value").cast("string"), PAGE)
-    return pages.select(*keep, page["bars"].alias("by_symbol")).select(
-        *keep, F.posexplode("by_symbol").alias("at", "symbol", "bars")
-    )
+    return pages.select(*keep, F.posexplode(page["bars"]).alias("at", "symbol", "bars"))
 
 
 def flatten_symbol_map(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..operators.flatten import PARSED, explode_parsed, parse_messages
+from ..operators.flatten import explode_bars, parsed_bars
 
 # The counters of a flow.
 COUNTERS = ("messages_received", "messages_sent", "errors")
 LAST_TIME = "last_message_time"
 
+PARSED = "bars"
+
 
 def flow_counters():
     """The counters as aggregates over parsed messages.
@@ -41,9 +43,9 @@ def observe_flow(
     query's progress under the given name on a stream.  The JSON is parsed once
     for both.
     """
-    parsed = parse_messages(messages, mode)
+    parsed = messages.withColumn(PARSED, parsed_bars(mode))
     counted = parsed.observe(observation, *flow_counters())
-    return explode_parsed(counted, typed_time=typed_time)
+    return explode_bars(counted, F.col(PARSED), typed_time=typed_time)
 
 
 class FlowMetrics(StreamingQueryListener):
