@@ -128,7 +128,7 @@ def _strict(text: Column) -> Column:
 
 
 def _count(text: Column, mark: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+    return F.size(F.split(text, f"\\{mark}")) - 1
 
 
 def _is_flat(text: Column, bars: Column) -> Column:
