@@ -29,6 +29,11 @@ def utc_wall_clock(instant: Column | str) -> Column:
     return _from_micros(F.unix_micros(_column(instant)))
 
 
+def instant(time: Column | str) -> Column:
+    """UTC wall clock (``timestamp_ntz``) as an instant (``timestamp``)."""
+    return F.concat(_column(time).cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def parse_time(text: Column | str) -> Column:
     """ISO-8601 text to UTC wall clock; NULL where it is not a time.
 

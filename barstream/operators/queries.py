@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prices import high_of, low_of, rounded_price, typical
 from ..functions.text import thousands
-from ..functions.times import display_time, seconds_between
+from ..functions.times import display_time, instant, seconds_between, utc_wall_clock
 from ..schema import PRICE_COLUMNS
 
 # Rows of the latest-bars report, its columns, the display order.
@@ -129,6 +129,8 @@ def resample_bars(
     and window.  (symbol, bar_time) is taken to identify a bar.
     """
     if watermark is not None:
+        # Watermarks are defined on instants only; windows start at the same times.
+        bars = bars.withColumn("bar_time", instant("bar_time"))
         bars = bars.withWatermark("bar_time", watermark)
     traded = F.when(F.col("vwap").isNotNull(), F.col("volume"))
     coarse = bars.groupBy("symbol", F.window("bar_time", timeframe(to)).alias("w")).agg(
@@ -141,9 +143,10 @@ def resample_bars(
         F.sum(F.col("vwap") * F.col("volume")).alias("_value"),
         F.sum(traded).alias("_traded"),
     )
+    start = F.col("w")["start"]
     return coarse.select(
         "symbol",
-        F.col("w")["start"].alias("bar_time"),
+        (start if watermark is None else utc_wall_clock(start)).alias("bar_time"),
         "open",
         "high",
         "low",

@@ -30,7 +30,8 @@ def write_archive(
     layout = {"compression": "gzip", "maxRecordsPerFile": str(max_records)}
     text = F.col("value").cast("string").alias("value")
     if messages.isStreaming:
-        lines = messages.select(*_PLACE, text)
+        # The streaming text sink takes text partition columns only.
+        lines = messages.select("topic", F.col("partition").cast("string"), text)
         writer = stream_writer(lines, checkpoint, trigger).format("text").options(**layout)
         return writer.partitionBy(*_PLACE).option("path", path).start()
     lines = messages.sortWithinPartitions(*_PLACE, "offset").select(*_PLACE, text)
@@ -40,4 +41,5 @@ def write_archive(
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived messages: ``value``, ``topic`` and ``partition``."""
-    return spark.read.schema("value string, topic string, partition int").text(path)
+    lines = spark.read.schema("value string, topic string, partition string").text(path)
+    return lines.withColumn("partition", F.col("partition").cast("int"))
