@@ -7,16 +7,13 @@ stream, without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from decimal import Decimal
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import parse_time
-from ..schema import BAR, BAR_COLUMNS, BAR_FIELDS, BAR_TYPE, WIRE_NAMES, WIRE_OF
+from ..schema import BAR, BAR_COLUMNS, BAR_FIELDS, BAR_TYPE, WIRE_OF
 
 MODES = ("permissive", "strict")
 
@@ -24,11 +21,6 @@ MODES = ("permissive", "strict")
 _INT_RANGE = (-(2**31), 2**31 - 1)
 _BIGINT_RANGE = (-(2**63), 2**63 - 1)
 
-_NAMED_BARS = T.ArrayType(
-    T.StructType([T.StructField(name, kind) for _, name, kind in BAR_FIELDS])
-)
-_FIELD_MAPS = T.ArrayType(T.MapType(T.StringType(), T.VariantType()))
-
 
 def parsed_bars(mode: str = "permissive", columns: Sequence[str] = BAR_COLUMNS) -> Column:
     """The array of bars in ``value``, or NULL for a message that is rejected.
@@ -44,10 +36,10 @@ def parsed_bars(mode: str = "permissive", columns: Sequence[str] = BAR_COLUMNS)
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    text = F.col("value").cast("string")
     if mode == "strict":
-        parsed = _strict(text)
+        parsed = _strict()
     else:
+        text = F.col("value").cast("string")
         parsed = F.from_json(text, T.ArrayType(T.StructType([BAR[WIRE_OF[c]] for c in columns])))
     return F.filter(parsed, lambda bar: bar.isNotNull())
 
@@ -98,137 +90,100 @@ def rejected_messages(df: DataFrame, mode: str = "permissive") -> DataFrame:
     return df.filter(F.col("value").isNotNull() & parsed_bars(mode, ["symbol"]).isNull())
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once however often it is used."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _strict(text: Column) -> Column:
-    """The strict reading of an array of bars.
+def _strict() -> Column:
+    """The strict reading of ``value``, written in SQL: one expression, built in one step.
 
     Nearly every message is clean: each of its keys became a value, which a few
     counts show, and the parsed array is the result.  Only other messages are
     parsed again, field by field with their JSON types.
-    """
-    parsed = F.from_json(text, T.ArrayType(BAR)).cast(_NAMED_BARS)
-
-    def choose(bars: Column) -> Column:
-        values = F.aggregate(bars, F.lit(0), lambda n, bar: n + _values_in(bar))
-        return _bind(
-            values,
-            lambda found: F.when(
-                (F.size(bars) == 0) | ((found == _keys_if_flat(text)) & _is_flat(text, bars)),
-                F.when(found == F.size(bars) * len(BAR_FIELDS), bars).otherwise(
-                    F.transform(bars, _with_defaults)
-                ),
-            ).otherwise(_by_type(text)),
-        )
-
-    return F.when(text.rlike(r"^\s*\["), _bind(parsed, choose))
-
-
-def _count(text: Column, mark: str) -> Column:
-    return F.size(F.split(text, f"\\{mark}")) - 1
-
-
-def _is_flat(text: Column, bars: Column) -> Column:
-    """One array, one object per element, no other brackets."""
-    return (_count(text, "{") == F.size(bars)) & (_count(text, "[") == 1)
-
 
-def _keys_if_flat(text: Column) -> Column:
-    """Keys of a flat array of non-empty objects: one more than there are commas.
-
-    Commas and brackets inside values make the counts disagree, never agree.
+    ``transform(array(x), name -> ...)[0]`` binds a value to a name, so that it is
+    computed once however often it is used.
     """
-    return _count(text, ",") + 1
-
-
-def _values_in(bar: Column) -> Column:
-    """How many fields have a value; NULL for a bar that needs the exact reading."""
-    usual = bar["symbol"].isNotNull() & F.coalesce(
-        bar["trade_count"].between(*_INT_RANGE), F.lit(True)
+    # A flat array of non-empty objects has one comma less than it has keys.  Commas
+    # and brackets inside values make the counts disagree, never agree.
+    clean = (
+        "size(bars) = 0 OR (found = size(split(text, ',')) AND "
+        r"size(bars) = size(split(text, '\\{')) - 1 AND size(split(text, '\\[')) = 2)"
+    )
+    present = " + ".join(f"CAST(bar.`{name}` IS NOT NULL AS INT)" for name in BAR_COLUMNS)
+    usual = "bar.symbol IS NOT NULL AND coalesce(bar.trade_count BETWEEN {} AND {}, true)"
+    found = (
+        f"aggregate(bars, 0, (n, bar) -> n + CASE WHEN {usual.format(*_INT_RANGE)} "
+        f"THEN {present} END)"
+    )
+    whole = f"found = size(bars) * {len(BAR_FIELDS)}"
+    filled = _named_struct(lambda wire, name, kind: _or_zero(f"bar.`{name}`", kind))
+    with_defaults = f"transform(bars, bar -> {filled})"
+    parsed = f"CAST(from_json(text, '{_ddl(0)}') AS {_ddl(1)})"
+    return F.expr(
+        rf"""transform(array(CAST(value AS STRING)), text ->
+              CASE WHEN text RLIKE r'^\s*\[' THEN transform(array({parsed}), bars ->
+                transform(array({found}), found ->
+                  CASE WHEN {clean} THEN CASE WHEN {whole} THEN bars ELSE {with_defaults} END
+                       ELSE {_by_type_sql()} END)[0])[0] END)[0]"""
     )
-    present = [bar[name].isNotNull().cast("int") for name in BAR_COLUMNS]
-    return F.when(usual, reduce(add, present))
-
 
-def _with_defaults(bar: Column) -> Column:
-    def value(name: str, kind: T.DataType) -> Column:
-        return bar[name] if isinstance(kind, T.StringType) else F.coalesce(bar[name], _zero(kind))
 
-    filled = F.struct(*[value(name, kind).alias(name) for _, name, kind in BAR_FIELDS])
-    return F.when(bar.isNotNull(), filled)
+def _by_type_sql() -> str:
+    """The bars in ``text`` if all fields of all elements are acceptable, else NULL."""
+    # Of a repeated field the last value counts.
+    def value(wire: str, name: str, kind: T.DataType) -> str:
+        given = f"filter(map_entries(e), f -> f.key = '{wire}')"
+        text = f"try_variant_get(try_element_at({given}, -1).value, '$', 'string')"
+        if isinstance(kind, T.StringType):
+            return text
+        exact = "DOUBLE" if isinstance(kind, T.DoubleType) else "DECIMAL(38,10)"
+        return _or_zero(f"try_cast(try_cast(trim({text}) AS {exact}) AS {_sql(kind)})", kind)
 
+    fine = _field_is_fine_sql()
+    return f"""transform(array(from_json(text, 'array<map<string,variant>>')), es ->
+      CASE WHEN forall(es, e -> e IS NULL OR forall(map_entries(e), f -> {fine}))
+           THEN transform(es, e -> CASE WHEN e IS NOT NULL THEN {_named_struct(value)} END)
+      END)[0]"""
 
-def _zero(kind: T.DataType) -> Column:
-    return F.lit(0).cast(kind)
 
+def _field_is_fine_sql() -> str:
+    """Whether ``f`` is a known field whose value its type can take."""
+    shape = "schema_of_variant(f.value)"
+    text = "trim(try_variant_get(f.value, '$', 'string'))"
+    number = f"try_cast({text} AS DECIMAL(38,10))"
 
-def _by_type(text: Column) -> Column:
-    """The bars if all fields of all elements are acceptable, else NULL."""
-    return _bind(
-        F.from_json(text, _FIELD_MAPS),
-        lambda elements: F.when(
-            F.forall(elements, lambda e: e.isNull() | _acceptable(e)),
-            F.transform(elements, lambda e: F.when(e.isNotNull(), _typed_bar(e))),
-        ),
-    )
+    # A number loses its fraction, so the bounds lie one further out; a text may have none.
+    def whole(low: int, high: int) -> str:
+        bounds = f"{number} > {low - 1}BD AND {number} < {high + 1}BD"
+        return rf"(({shape} != 'STRING' OR {text} RLIKE r'^[+-]?\d+$') AND {bounds})"
 
+    return f"""f.key IN ({_names_of(T.DataType)}) AND (
+      f.value IS NULL OR is_variant_null(f.value) OR (
+        NOT {shape} LIKE 'OBJECT%' AND NOT {shape} LIKE 'ARRAY%' AND (
+          f.key IN ({_names_of(T.StringType)}) OR coalesce(
+            CASE WHEN {shape} = 'BOOLEAN' THEN false
+                 WHEN {shape} = 'STRING' AND {text} = '' THEN true
+                 WHEN f.key IN ({_names_of(T.DoubleType)}) THEN try_cast({text} AS DOUBLE) IS NOT NULL
+                 WHEN f.key = 'n' THEN {whole(*_INT_RANGE)}
+                 ELSE {whole(*_BIGINT_RANGE)} END, false))))"""
 
-def _field(element: Column, wire: str) -> Column:
-    """The last value given for a field."""
-    entries = F.filter(F.map_entries(element), lambda entry: entry["key"] == wire)
-    return F.try_element_at(entries, F.lit(-1))["value"]
 
+def _sql(kind: T.DataType) -> str:
+    return kind.simpleString()
 
-def _text_of(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
 
+def _names_of(kind: type[T.DataType]) -> str:
+    return ", ".join(f"'{wire}'" for wire, _, of in BAR_FIELDS if isinstance(of, kind))
 
-def _is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
 
+def _or_zero(value: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.StringType):
+        return value
+    return f"coalesce({value}, CAST(0 AS {_sql(kind)}))"
 
-def _number(value: Column, kind: T.DataType) -> Column:
-    """The number a value stands for, not yet cut to a whole one."""
-    text = F.trim(_text_of(value))
-    return text.try_cast("double" if isinstance(kind, T.DoubleType) else "decimal(38,10)")
 
+def _named_struct(value: Callable[[str, str, T.DataType], str]) -> str:
+    fields = (f"'{name}', {value(wire, name, kind)}" for wire, name, kind in BAR_FIELDS)
+    return f"named_struct({', '.join(fields)})"
 
-def _acceptable(element: Column) -> Column:
-    known = F.array(*[F.lit(name) for name in WIRE_NAMES])
-    accepted = F.size(F.array_except(F.map_keys(element), known)) == 0
-    for wire, _, kind in BAR_FIELDS:
-        value = _field(element, wire)
-        absent = value.isNull() | F.is_variant_null(value)
-        shape = F.schema_of_variant(value)
-        nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-        if isinstance(kind, T.StringType):
-            good = ~nested
-        else:
-            blank = _is_text(value) & (F.trim(_text_of(value)) == "")
-            good = ~nested & (shape != "BOOLEAN") & (blank | _number_fits(value, wire, kind))
-        accepted &= absent | F.coalesce(good, F.lit(False))
-    return accepted
-
-
-def _number_fits(value: Column, wire: str, kind: T.DataType) -> Column:
-    number = _number(value, kind)
-    if isinstance(kind, T.DoubleType):
-        return number.isNotNull()
-    low, high = _INT_RANGE if wire == "n" else _BIGINT_RANGE
-    # A fraction is cut off, so the bounds themselves lie one further out.
-    inside = (number > F.lit(Decimal(low - 1))) & (number < F.lit(Decimal(high + 1)))
-    digits = ~_is_text(value) | F.trim(_text_of(value)).rlike(r"^[+-]?\d+$")
-    return F.coalesce(inside, F.lit(False)) & digits
-
-
-def _typed_bar(element: Column) -> Column:
-    def value(wire: str, kind: T.DataType) -> Column:
-        field = _field(element, wire)
-        if isinstance(kind, T.StringType):
-            return _text_of(field)
-        return F.coalesce(_number(field, kind).try_cast(kind), _zero(kind))
 
-    return F.struct(*[value(wire, kind).alias(name) for wire, name, kind in BAR_FIELDS])
+def _ddl(which: int) -> str:
+    """The array type with wire names (0) or column names (1)."""
+    return f"array<struct<{', '.join(f'{field[which]}:{_sql(field[2])}' for field in BAR_FIELDS)}>>"
