@@ -63,6 +63,9 @@ def number_rows(
         *[F.col(c).alias(f"_span_{c}") for c in within],
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
+    # Stored, so that its size is known when the join is planned: Spark broadcasts it
+    # below its threshold, which spares the rows another shuffle, and shuffles beyond.
+    shifts = staged(shifts, "shifts")
     same = F.col(_TASK) == F.col("_span_task")
     for c in within:
         same &= F.col(c).eqNullSafe(F.col(f"_span_{c}"))

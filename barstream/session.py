@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Folders of local sessions without that setting, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 #: Settings the jobs ask for; a cluster's own defaults may override any of them.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,9 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="barstream-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="barstream-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:

@@ -13,10 +13,12 @@ REPLAY_INTERVAL = "10 seconds"
 def stage_replay(messages: DataFrame, path: str, messages_per_trigger: int = 1) -> None:
     """Write messages as files that each hold one trigger's worth, in offset order.
 
-    Ranges of messages are spread over tasks, so staging scales with the cluster.
+    Ranges of messages are spread over tasks, so staging scales with the cluster.  A
+    stream takes files in the order they were finished, which follows the ranges only
+    roughly; the messages carry their offsets for consumers that need more.
     """
-    ordered = messages.repartitionByRange("partition", "offset")
-    ordered = ordered.sortWithinPartitions("partition", "offset")
+    ordered = messages.repartitionByRange("offset", "partition")
+    ordered = ordered.sortWithinPartitions("offset", "partition")
     ordered.write.option("maxRecordsPerFile", messages_per_trigger).parquet(path)
 
 

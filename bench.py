@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -22,7 +21,7 @@ from barstream.operators.flatten import flatten_messages
 from barstream.operators.numbering import number_rows
 from barstream.operators.wire import to_wire
 from barstream.plans import tables
-from barstream.session import CHECKPOINT_DIR, scratch
+from barstream.session import scratch
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -41,8 +40,6 @@ def start() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get(CHECKPOINT_DIR, None):
-        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="barstream-bench-"))
     return spark
 
 

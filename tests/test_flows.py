@@ -312,6 +312,25 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_without_the_setting_only_local_sessions_get_a_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        applicationId = "app-1"
+        master = "local[2]"
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    assert session.shared_folder(Session()) == session.shared_folder(Session())
+    Context.master = "yarn"
+    with pytest.raises(ValueError):
+        session.shared_folder(Session())
+
+
 def test_bar_columns_survive_history_files(spark, sf_dir, tmp_path):
     from barstream.operators.history import normalise_bars
 
