@@ -9,11 +9,10 @@ import argparse
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import functions as F
-
 from ..functions.text import thousands
-from ..operators.queries import display_bars, latest_bars, total_events
+from ..operators.queries import display_bars, total_events
 from ..session import session
+from ..sources.ticks import latest_ticks, read_ticks
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -31,9 +30,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     while args.refreshes is None or done < args.refreshes:
         if done:
             time.sleep(args.interval)
-        ticks = spark.read.parquet(args.path)
-        total_events(ticks).select(thousands(F.col("total_events")).alias("total_events")).show()
-        display_bars(latest_bars(ticks)).show(truncate=False)
+        total = total_events(read_ticks(spark, args.path))
+        total.select(thousands("total_events").alias("total_events")).show()
+        display_bars(latest_ticks(spark, args.path)).show(truncate=False)
         done += 1
 
 

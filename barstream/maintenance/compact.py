@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,14 +29,15 @@ def compact(
     *,
     target_mb: float = TARGET_MB,
     where: Column | None = None,
+    sort_by: Sequence[str] = (),
     dest: str | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
     """Rewrite the dataset at ``path`` into files of about ``target_mb``.
 
     ``where`` selects partitions and may use partition columns only.  Partitions
-    that already have as few files as their size allows are left alone.  With
-    ``dest`` the compacted partitions are written there and ``path`` stays as it
+    that already have as few files as their size allows are left alone.  Rows keep
+    their order, or are sorted by ``sort_by`` within each file.  With ``dest`` the compacted partitions are written there and ``path`` stays as it
     is; without, they take the place of the old files.  ``dry_run`` only reports.
 
     Returns one row with rows rewritten, files and bytes before and after, and the
@@ -79,7 +82,7 @@ def compact(
         .option("basePath", path)
         .parquet(*[plain_path(spark, uri) for uri in folders])
     )
-    _rewrite(chosen, plan, totals.slots, partitions, target)
+    _rewrite(chosen, plan, totals.slots, partitions, sort_by, target)
     written = spark.read.parquet(target).count()
     if written != totals.rows:
         raise RuntimeError(f"{target} has {written} rows instead of {totals.rows}; nothing replaced")
@@ -141,9 +144,14 @@ def _all_equal(partitions: list[str]) -> Column:
 
 
 def _rewrite(
-    data: DataFrame, plan: DataFrame, slots: int, partitions: list[str], target: str
+    data: DataFrame,
+    plan: DataFrame,
+    slots: int,
+    partitions: list[str],
+    sort_by: Sequence[str],
+    target: str,
 ) -> None:
-    """Write each slot as one file, its rows in their old order."""
+    """Write each slot as one file."""
     rows = data.select(
         "*",
         F.col("_metadata.file_path").alias(_FILE),
@@ -156,7 +164,7 @@ def _rewrite(
     )
     (
         placed.repartitionById(slots, "_slot")
-        .sortWithinPartitions(*partitions, _FILE, _ROW)
+        .sortWithinPartitions(*partitions, *(sort_by or (_FILE, _ROW)))
         .select(*data.columns)
         .write.partitionBy(*partitions)
         .parquet(target)

@@ -180,6 +180,23 @@ def load_ticks(spark, sf_dir):
     return spark.read.parquet(_stored_ticks(spark, sf_dir))
 
 
+@query(
+    "latest_ticks",
+    f"""SELECT symbol, open, high, low, close, volume, bar_time
+        FROM (SELECT {_TICKS_SQL} FROM bars)
+        ORDER BY bar_time DESC, symbol, open, high, low, close, volume LIMIT 10""",
+)
+def latest_ticks(spark, sf_dir):
+    return sources.latest_ticks(spark, _stored_ticks(spark, sf_dir))
+
+
+@query("load_ticks_rebalanced", f"SELECT {_DATED_SQL} FROM bars")
+def load_ticks_rebalanced(spark, sf_dir):
+    path = scratch(spark, "ticks")
+    sinks.load_ticks(flatten_messages(tables.messages(spark, sf_dir)), path, rebalance=True)
+    return sources.read_ticks(spark, path)
+
+
 @query("ctas", f"SELECT {COLUMNS_SQL} FROM bars")
 def ctas(spark, sf_dir):
     location = scratch(spark, "table")

@@ -52,9 +52,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/barstream/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/barstream/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's own part of it."""
+    return f"{_own_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application staged.
+
+    For the end of a job: DataFrames made from staged data cannot be read afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

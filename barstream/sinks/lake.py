@@ -48,19 +48,25 @@ def load_ticks(
     path: str,
     *,
     fill_defaults: bool = False,
+    rebalance: bool = False,
     checkpoint: str | None = None,
     trigger: str | None = None,
 ) -> StreamingQuery | None:
     """Append bars to the tick table, partitioned by trading date.
 
-    No shuffle: bars arrive roughly in time order, so a task holds few dates; the
-    writer sorts within the task and keeps one file open at a time.
+    A flow of current bars needs no shuffle, as a task holds few dates.  A load that
+    spans many dates should ``rebalance``: Spark then gathers each date in few tasks,
+    splitting large dates and merging small ones, so that files get a sensible size.
+    A batch sorts a date by symbol, which lets readers of one symbol skip row groups.
     """
     ticks = as_ticks(bars, fill_defaults)
     if bars.isStreaming:
         writer = stream_writer(ticks, checkpoint, trigger).format("parquet")
         return writer.partitionBy("trade_date").option("path", path).start()
-    ticks.write.partitionBy("trade_date").mode("append").parquet(path)
+    if rebalance:
+        ticks = ticks.hint("rebalance", "trade_date")
+    ordered = ticks.sortWithinPartitions("trade_date", "symbol", "bar_time")
+    ordered.write.partitionBy("trade_date").mode("append").parquet(path)
     return None
 
 

@@ -2,12 +2,15 @@
 
 from .history import read_assets, read_history, read_pages, read_symbols
 from .messages import read_messages, read_messages_stream
+from .ticks import latest_ticks, read_ticks
 
 __all__ = [
+    "latest_ticks",
     "read_assets",
     "read_history",
     "read_messages",
     "read_messages_stream",
     "read_pages",
     "read_symbols",
+    "read_ticks",
 ]

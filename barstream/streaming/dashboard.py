@@ -39,7 +39,7 @@ def dashboard_stream(
         ticks = as_ticks(batch)
         # Ticks first; the report then reads the stored rows instead of the source.
         stored = f"{path}/ticks/batch_id={batch_id}"
-        ticks.write.mode("overwrite").parquet(stored)
+        ticks.write.partitionBy("trade_date").mode("overwrite").parquet(stored)
         new = batch.sparkSession.read.schema(ticks.schema).parquet(stored)
         _write_report(new, path, batch_id)
 

@@ -312,6 +312,43 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_rebalanced_load_has_few_files(spark, sf_dir, tmp_path):
+    bars = tables.bars(spark, sf_dir).repartition(6, "event_id")
+    dates = bars.select(F.to_date("bar_time")).distinct().count()
+    sinks.load_ticks(bars, str(tmp_path / "as-is"))
+    sinks.load_ticks(bars, str(tmp_path / "rebalanced"), rebalance=True)
+    assert len(parquet_files(tmp_path / "rebalanced")) == dates < len(parquet_files(tmp_path / "as-is"))
+    assert rows_of(spark.read.parquet(str(tmp_path / "rebalanced"))) == rows_of(as_ticks(bars))
+
+
+@pytest.mark.parametrize("n", [1, 10, 100, 700, 5000])
+def test_latest_ticks_equal_those_of_the_whole_table(spark, ticks, n):
+    mine = [tuple(r) for r in sources.latest_ticks(spark, ticks, n).collect()]
+    assert mine == [tuple(r) for r in latest_bars(spark.read.parquet(ticks), n).collect()]
+
+
+def test_latest_ticks_reads_few_dates(spark, ticks):
+    plan = sources.latest_ticks(spark, ticks)._jdf.queryExecution().toString()
+    assert "trade_date#" in plan and ">= 2024-01-30" in plan
+
+
+def test_compact_can_sort(spark, ticks):
+    before = rows_of(spark.read.parquet(ticks))
+    compact(spark, ticks, sort_by=["close"])
+    for file in parquet_files(ticks):
+        closes = [r.close for r in spark.read.parquet(str(file)).select("close").collect()]
+        assert closes == sorted(closes)
+    assert rows_of(spark.read.parquet(ticks)) == before
+
+
+def test_release_deletes_what_was_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    df = session.staged(spark.range(3).toDF("x"), "three")
+    assert df.count() == 3 and os.listdir(tmp_path / "barstream")
+    session.release(spark)
+    assert os.listdir(tmp_path / "barstream") == []
+
+
 def test_without_the_setting_only_local_sessions_get_a_folder():
     class Conf:
         def get(self, key, default=None):

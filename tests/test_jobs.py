@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from barstream.jobs import compact, flatten, report
+from barstream.jobs import compact, flatten, report, tail
 from barstream.operators.wire import as_ticks
 from barstream.plans import tables
 from barstream.sinks.starting import AVAILABLE_NOW
@@ -51,3 +51,11 @@ def test_compact_and_report_jobs(spark, sf_dir, tmp_path, capsys):
     report.main(["--path", path, "--refreshes", "2", "--interval", "0"])
     printed = capsys.readouterr().out
     assert printed.count("total_events") == 2 and "1,000" in printed
+
+
+def test_tail_job(spark, sf_dir, tmp_path):
+    source = str(tmp_path / "in")
+    tables.messages(spark, sf_dir).write.parquet(source)
+    tail.main(["--path", source, "--trigger", AVAILABLE_NOW])
+    with pytest.raises(SystemExit):
+        tail.arguments(["--topic", "t"])
