@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +25,19 @@ def retain_since(
     """Drop the rows of a date-partitioned dataset whose time lies before ``cutoff``.
 
     Older dates go as whole directories without being read; only the date that
-    holds the cutoff is rewritten.  With ``dest`` the retained rows are written
+    holds the cutoff is rewritten.  The cutoff is UTC unless it says otherwise.  With ``dest`` the retained rows are written
     there instead and ``path`` stays as it is.  Rows without a time are kept.
 
     Returns one row: dates dropped, rows rewritten, and rows removed from the date
     of the cutoff.
     """
+    if cutoff.tzinfo is not None:
+        cutoff = cutoff.astimezone(timezone.utc).replace(tzinfo=None)
     data = spark.read.parquet(path)
     day = F.lit(cutoff.date())
-    recent = F.coalesce(F.col(time_column) >= F.lit(cutoff).cast("timestamp_ntz"), F.lit(True))
+    # As text: a datetime literal would be shifted by the session time zone.
+    limit = F.lit(str(cutoff)).cast("timestamp_ntz")
+    recent = F.coalesce(F.col(time_column) >= limit, F.lit(True))
     date = F.col(date_partition)
     listing = dataset_files(spark, path)
     older = listing.where(date < day).select(date_partition).distinct().count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import canonical_json, display_time, iso_time
+from ..functions import canonical_json, display_time, instant, iso_time
 from ..operators import batching, queries
 from ..operators.flatten import flatten_messages, rejected_messages
 from ..operators.history import bars_per_symbol, flatten_symbol_map, normalise_bars
@@ -116,7 +116,7 @@ def display_bars(spark, sf_dir):
 )
 def show_time(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events")
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    millis = F.unix_millis(instant("ts"))
     return events.select(
         "event_id",
         display_time(millis).alias("of_millis"),

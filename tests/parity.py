@@ -1,10 +1,12 @@
 """Compares registered queries with their SQL on DuckDB.
 
-``python -m tests.parity <sf_dir> [query ...]`` prints one line per query.
+``python -m tests.parity <sf_dir> [query ...]`` prints one line per query.  Session
+settings can be given as ``PARITY_CONF=key=value,key=value``.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from datetime import date, datetime
@@ -82,6 +84,8 @@ def main(sf_dir: str, wanted: list[str]) -> int:
     from tests.conftest import make_session
 
     spark = make_session()
+    for setting in filter(None, os.environ.get("PARITY_CONF", "").split(",")):
+        spark.conf.set(*setting.split("="))
     connection = database(sf_dir)
     sql = contract.oracle_sql()
     failed = 0
