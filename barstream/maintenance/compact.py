@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,27 +122,20 @@ def _slots(files: DataFrame, partitions: list[str], target: int) -> DataFrame:
         .withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
         .where(F.col("files") > F.col("slots"))
     )
+    wanted = ("file_path", "rows", "size", "start", "total", "slots", "first_slot")
+    if not partitions:
+        return laid_out.withColumn("first_slot", F.lit(0).cast("bigint")).select(*wanted)
     # Numbers the pieces over all partitions: one row per partition directory.
-    numbered = Window.orderBy(*(partitions or [F.lit(0)])).rowsBetween(
-        Window.unboundedPreceding, -1
+    numbered = Window.orderBy(*partitions).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = laid_out.groupBy(*partitions).agg(F.max("slots").alias("_n"))
+    firsts = firsts.select(
+        *[F.col(c).alias(f"_p_{c}") for c in partitions],
+        F.coalesce(F.sum("_n").over(numbered), F.lit(0)).alias("first_slot"),
     )
-    firsts = (
-        laid_out.groupBy(*partitions)
-        .agg(F.max("slots").alias("_n"))
-        .withColumn("first_slot", F.coalesce(F.sum("_n").over(numbered), F.lit(0)))
+    same_partition = reduce(
+        and_, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partitions]
     )
-    joined = laid_out.alias("f").join(
-        firsts.select(*[F.col(c).alias(f"_p_{c}") for c in partitions], "first_slot"),
-        _all_equal(partitions),
-    )
-    return joined.select("file_path", "rows", "size", "start", "total", "slots", "first_slot")
-
-
-def _all_equal(partitions: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in partitions:
-        condition &= F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    return condition
+    return laid_out.join(firsts, same_partition).select(*wanted)
 
 
 def _rewrite(

@@ -25,8 +25,9 @@ def retain_since(
     """Drop the rows of a date-partitioned dataset whose time lies before ``cutoff``.
 
     Older dates go as whole directories without being read; only the date that
-    holds the cutoff is rewritten.  The cutoff is UTC unless it says otherwise.  With ``dest`` the retained rows are written
-    there instead and ``path`` stays as it is.  Rows without a time are kept.
+    holds the cutoff is rewritten.  The cutoff is UTC unless it says otherwise.
+    With ``dest`` the retained rows are written there instead and ``path`` stays as
+    it is.  Rows without a time are kept.
 
     Returns one row: dates dropped, rows rewritten, and rows removed from the date
     of the cutoff.

@@ -96,9 +96,13 @@ def await_queries(
             return True
         return bool(spark.streams.awaitAnyTermination(timeout))
     finally:
-        for query in queries:
-            if query.isActive:
-                query.stop()
+        stop_all(queries)
+
+
+def stop_all(queries: list[StreamingQuery]) -> None:
+    for query in queries:
+        if query.isActive:
+            query.stop()
 
 
 def run_pipeline(source: DataFrame, outputs: str, targets: Outputs, **settings) -> None:
@@ -113,8 +117,11 @@ def run_pipeline(source: DataFrame, outputs: str, targets: Outputs, **settings)
     if finite:
         settings.setdefault("raw_trigger", AVAILABLE_NOW)
     queries = start_pipeline(source, outputs, targets, **settings)
-    if finite:
+    if not finite:
+        await_queries(spark, queries)
+        return
+    try:
         for query in queries:
             query.awaitTermination()
-    else:
-        await_queries(spark, queries)
+    finally:
+        stop_all(queries)

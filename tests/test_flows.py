@@ -146,6 +146,16 @@ def test_console_mode(spark, stored, tmp_path):
     assert sum(p.numInputRows for p in query.recentProgress) == spark.read.parquet(stored).count()
 
 
+def test_raw_table_is_created(spark, stored, tmp_path):
+    source = sources.read_messages_stream(spark, stored)
+    targets = Outputs(str(tmp_path / "c"), raw_table="default.raw_stream")
+    streaming.run_pipeline(source, "iceberg-only", targets, trigger=AVAILABLE_NOW)
+    table = spark.table("default.raw_stream")
+    assert rows_of(table) == rows_of(spark.read.parquet(stored))
+    assert len(table.limit(2).collect()) == 2
+    spark.sql("DROP TABLE default.raw_stream")
+
+
 def test_unknown_output_mode(spark, stored, tmp_path):
     source = sources.read_messages_stream(spark, stored)
     with pytest.raises(ValueError):
