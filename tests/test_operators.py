@@ -15,8 +15,9 @@ from barstream.operators.history import bars_per_symbol, flatten_symbol_map, nor
 from barstream.operators.numbering import number_rows, with_batch_id
 from barstream.operators.wire import as_ticks, from_wire, to_wire
 from barstream.plans import tables
-from barstream.schema import BAR_COLUMNS, BARS
+from barstream.schema import BAR_COLUMNS, BARS, MESSAGE
 from barstream.sources.history import parse_history
+from barstream.streaming import observe_flow
 
 NOON = datetime(2025, 11, 20, 12, 0)
 
@@ -314,6 +315,22 @@ def test_queries_push_down_to_the_tick_table(spark, sf_dir, tmp_path):
     assert "PartitionFilters: [isnotnull(trade_date" in recent._jdf.queryExecution().toString()
 
 
+def test_json_is_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    spark.createDataFrame([], MESSAGE).write.parquet(path)
+    stored = spark.read.parquet(path)
+    text = stored.select(F.col("value").cast("string"))
+    for df in (
+        flatten_messages(stored),
+        flatten_symbol_map(stored),
+        from_wire(stored),
+        parse_history(text),
+        observe_flow(stored, "flow"),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1 and "Exchange" not in plan
+
+
 def test_no_operator_needs_a_cross_join(spark, sf_dir):
     coverage = batching.symbol_coverage(tables.customers(spark, sf_dir), tables.orders_as_bars(spark, sf_dir))
     numbered = number_rows(tables.bars(spark, sf_dir), ["bar_time"])
