@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barstream.llm.common import digest_of, text_of
@@ -17,6 +17,8 @@ from barstream.session import staged
 SEED = 42
 #: Shingles whose bits are counted at once: bounds the memory of a very long text.
 SLICE = 1 << 16
+#: Nodes whose 64 signatures one task writes.
+NODES_PER_TASK = 10_000
 
 
 def _hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -101,7 +103,8 @@ def near_links(
 
     ``nodes`` has one row per different content: ``node``, ``fp``.  By the pigeonhole
     principle two nodes within the radius share a bucket, that is a segment with one
-    bit deleted.  First every node is linked to the smallest node of each of its
+    bit deleted.  The members of a bucket pass one window in order, of which a task
+    holds one row at a time.  First every node is linked to the smallest node of each of its
     buckets, if that is within the radius and ``verify`` accepts it.  Then only buckets
     that still hold several components are joined with themselves, and only pairs of
     different components come out.  Every pair within the radius ends up verified or
@@ -110,15 +113,17 @@ def near_links(
     """
     verify = verify or (lambda pairs: pairs)
     close = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("q.fp"))) <= radius
-    rows = signatures(nodes, radius)
-    shared = staged(
-        rows.groupBy("slot", "rest")
-        .agg(F.min(F.struct("node", "fp")).alias("least"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("slot", "rest", "least"),
-        "buckets",
+    tasks = max(1, -(-nodes.count() // NODES_PER_TASK))
+    bucket = Window.partitionBy("slot", "rest").orderBy("node")
+    upto = bucket.rowsBetween(Window.unboundedPreceding, 0)
+    members = staged(
+        signatures(nodes.repartition(tasks, "node"), radius)
+        .withColumn("least", F.first(F.struct("node", "fp")).over(upto))
+        .withColumn("next", F.lead("node").over(bucket))
+        .where((F.col("least.node") != F.col("node")) | F.col("next").isNotNull())
+        .drop("next"),
+        "bucket-members",
     )
-    members = staged(rows.join(shared, ["slot", "rest"]), "bucket-members")
     stars = members.select(
         F.col("least.node").alias("a"),
         F.col("node").alias("b"),
@@ -191,7 +196,7 @@ def fingerprint_components(
 
 def near_duplicates(
     docs: DataFrame,
-    radius: int = 5,
+    radius: int = 3,
     shingle: int = 5,
     similarity: float = 0.8,
     id_col: str = "doc_id",
@@ -201,7 +206,8 @@ def near_duplicates(
 
     Candidates come from fingerprints over the different words of a text: a few
     replaced words move them by few bits, while they move a fingerprint of five-word
-    shingles out of any radius that can be searched.  Every candidate link is then
+    shingles (by 9 bits in the middle, at a similarity of 0.8) out of any radius that
+    can be searched.  Every candidate link is then
     verified by the exact Jaccard similarity of the five-word shingles, at least
     ``similarity``.  Texts without words are copies of each other.
     """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,13 +18,13 @@ from barstream.session import staged
 
 #: Text put into one block, and entries summed up in one bucket: they bound the
 #: memory of tasks and have no influence on counts.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 ENTRIES_PER_BUCKET = 500_000
 
 #: The tree: a context is examined if it holds this share of all training tokens, so
 #: there are at most ``1 / SHARE`` of each length; it is retained if it predicts by so
 #: many nats better; and it is at most so many words long.
-SHARE = 1e-4
+SHARE = 2e-4
 GAIN = 10.0
 DEPTH = 2
 DISCOUNT = 0.8
@@ -78,7 +79,7 @@ def encode(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTES) ->
             "known_ids": np.array([r[0] is not None for r in rows]).tobytes(),
             "held": np.array([r[1] for r in rows], bool).tobytes(),
             "lengths": np.array([len(x) for x in coded], np.int32).tobytes(),
-            "codes": np.concatenate(coded).tobytes(),
+            "codes": zlib.compress(np.concatenate(coded).tobytes(), 1),
             "hashes": hashes.tobytes(),
             "different": len(codes),
         }
@@ -107,14 +108,14 @@ class _Block:
 
     def __init__(self, row: dict, levels: list[Level]):
         self.hashes = np.frombuffer(row["hashes"], np.uint64)
-        self.codes = np.frombuffer(row["codes"], np.int32).astype(np.int64)
+        self.codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
         self.lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
         self.held = np.frombuffer(row["held"], bool)
         self.trains = np.repeat(~self.held, self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
         first = np.zeros(len(self.codes), bool)
         first[starts[self.lengths > 0]] = True
-        self.contexts = [np.zeros(len(self.codes), np.int64)]
+        self.contexts = [np.zeros(len(self.codes), np.int32)]
         order = np.argsort(self.hashes)
         width = len(self.hashes)
         for level in levels:
@@ -124,12 +125,12 @@ class _Block:
             wanted = level.prior[here] * width + code[here]
             turn = np.argsort(wanted)
             wanted, index = wanted[turn], here[turn]
-            last = self.contexts[-1]
-            before = np.r_[-1, last[:-1]][: len(last)]
-            asked = np.where(
-                first | (before < 0), -1, before * width + np.r_[0, self.codes[:-1]][: len(last)]
-            )
-            found = np.full(len(asked), -1, np.int64)
+            before = self.contexts[-1][:-1].astype(np.int64)
+            asked = np.full(len(first), -1, np.int64)
+            asked[1:] = before * width + self.codes[:-1]
+            asked[1:][before < 0] = -1
+            asked[first] = -1
+            found = np.full(len(asked), -1, np.int32)
             if len(wanted):
                 spot = np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)
                 hit = wanted[spot] == asked
@@ -140,7 +141,8 @@ class _Block:
         """(positions, inverse, ctx, hashes, training counts) of the block's different grams."""
         ctx = self.contexts[length]
         where = np.flatnonzero(ctx >= 0)
-        keys, inverse = np.unique(ctx[where] * len(self.hashes) + self.codes[where], return_inverse=True)
+        grams = ctx[where].astype(np.int64) * len(self.hashes) + self.codes[where]
+        keys, inverse = np.unique(grams, return_inverse=True)
         n = np.bincount(inverse, weights=self.trains[where], minlength=len(keys)).astype(np.int64)
         width = max(1, len(self.hashes))
         return where, inverse, keys // width, self.hashes[keys % width], n
