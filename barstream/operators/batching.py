@@ -85,8 +85,7 @@ def symbol_batches(
     dense_id: str | None = None,
     unique: bool = True,
 ) -> DataFrame:
-    """Number the symbols into request batches from 1; a request takes at most 100."""
-    size = min(size, SYMBOLS_PER_REQUEST)
+    """Number the symbols into request batches of ``size`` from 1, 100 unless asked otherwise."""
     return with_batch_id(symbols, size, order_by, dense_id=dense_id, start=1, unique=unique)
 
 

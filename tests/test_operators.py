@@ -244,9 +244,11 @@ def test_coverage(spark):
     assert (empty.requested, empty.with_data, empty.coverage) == (0, 0, 0.0)
 
 
-def test_symbol_batches_take_at_most_a_hundred(spark):
+def test_symbol_batches_take_the_size_asked_for(spark):
     symbols = spark.range(250).select(F.format_string("S%03d", "id").alias("symbol"))
-    batches = batching.symbol_batches(symbols, size=1000)
+    whole = batching.symbol_batches(symbols, size=250)
+    assert [r["count"] for r in whole.groupBy("batch_id").count().collect()] == [250]
+    batches = batching.symbol_batches(symbols)
     assert {r.batch_id: r["count"] for r in batches.groupBy("batch_id").count().collect()} == {1: 100, 2: 100, 3: 50}
     lists = {r.batch_id: r.symbols for r in batching.batch_symbols(batches).collect()}
     assert lists[3] == ",".join(f"S{i:03d}" for i in range(200, 250))
