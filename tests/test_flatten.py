@@ -9,10 +9,10 @@ from barstream.operators.flatten import flatten_messages, rejected_messages
 from barstream.schema import BAR_COLUMNS
 
 OK = (
-    '{"T":"b","S":"SPYD","o":42.51,"h":42.6,"l":42.4,"c":42.5,"v":2300,'
-    '"t":"2025-11-20T14:35:00Z","n":3,"vw":42.51}'
+    '{"T":"b","S":"QUX","o":7.25,"h":8.5,"l":6.75,"c":8.0,"v":640,'
+    '"t":"2024-03-05T09:15:00Z","n":12,"vw":7.875}'
 )
-OK_ROW = ("b", "SPYD", 42.51, 42.6, 42.4, 42.5, 2300, "2025-11-20 14:35:00", 3, 42.51)
+OK_ROW = ("b", "QUX", 7.25, 8.5, 6.75, 8.0, 640, "2024-03-05 09:15:00", 12, 7.875)
 
 
 def nulls(**given):
@@ -128,13 +128,13 @@ def test_chosen_columns_equal_those_of_the_whole(cases):
 def test_only_bars_works_without_the_type_column(cases):
     kept = flatten_messages(cases, only_bars=True, columns=["symbol"])
     assert kept.columns == ["key", "symbol"]
-    assert {row.symbol for row in kept.collect()} == {"SPYD", "A"}
+    assert {row.symbol for row in kept.collect()} == {"QUX", "A"}
 
 
 def test_binary_key_and_value(spark):
     df = spark.createDataFrame([(b"k", f"[{OK}]".encode())], "key binary, value binary")
     row = flatten_messages(df).first()
-    assert row.key == "k" and row.symbol == "SPYD"
+    assert row.key == "k" and row.symbol == "QUX"
 
 
 def test_without_key(spark):
@@ -154,7 +154,7 @@ def test_case_sensitivity_does_not_matter(spark, cases, setting):
     try:
         for mode, at in (("permissive", 1), ("strict", 2)):
             expected = sum((case[at] or []).count(OK_ROW) for case in CASES.values())
-            assert flatten_messages(cases, mode).filter("close = 42.5").count() == expected
+            assert flatten_messages(cases, mode).filter("close = 8.0").count() == expected
     finally:
         spark.conf.set("spark.sql.caseSensitive", before)
 

@@ -105,18 +105,17 @@ def test_ctas_refuses_an_existing_table(spark, sf_dir):
     spark.sql("DROP TABLE ctas_bars")
 
 
-def test_partitioned_table_with_inserted_rows(spark):
+def test_partitioned_table_with_inserted_rows(spark, sf_dir):
+    bars = tables.bars(spark, sf_dir).select("symbol", "close", F.to_date("bar_time").alias("trade_date"))
+    bars.createOrReplaceTempView("daily_source")
     spark.sql(
-        "CREATE TABLE trips (vendor_id bigint, trip_id bigint, trip_distance float, fare_amount double, "
-        "store_and_fwd_flag string) USING parquet PARTITIONED BY (vendor_id)"
+        "CREATE TABLE daily_bars (symbol string, close double, trade_date date) "
+        "USING parquet PARTITIONED BY (trade_date)"
     )
-    spark.sql(
-        "INSERT INTO trips (vendor_id, trip_id, trip_distance, fare_amount, store_and_fwd_flag) "
-        "VALUES (1, 11, 1.5, 15.0, 'N'), (2, 12, 2.5, 22.0, 'N'), (2, 13, 0.5, 9.0, 'N'), (1, 14, 8.5, 42.0, 'Y')"
-    )
-    counts = {r.vendor_id: r["count"] for r in spark.table("trips").groupBy("vendor_id").count().collect()}
-    assert counts == {1: 2, 2: 2}
-    spark.sql("DROP TABLE trips")
+    spark.sql("INSERT INTO daily_bars SELECT symbol, close, trade_date FROM daily_source")
+    by_date = lambda df: {r.trade_date: r["count"] for r in df.groupBy("trade_date").count().collect()}
+    assert by_date(spark.table("daily_bars")) == by_date(bars)
+    spark.sql("DROP TABLE daily_bars")
 
 
 @pytest.mark.parametrize("outputs, made", [("kafka-only", {"messages"}), ("iceberg-only", {"raw"}), ("both", {"messages", "raw"})])
