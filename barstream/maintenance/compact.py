@@ -39,11 +39,13 @@ def compact(
 
     ``where`` selects partitions and may use partition columns only.  Partitions
     that already have as few files as their size allows are left alone.  Rows keep
-    their order, or are sorted by ``sort_by`` within each file.  With ``dest`` the compacted partitions are written there and ``path`` stays as it
-    is; without, they take the place of the old files.  ``dry_run`` only reports.
+    their order, or are sorted by ``sort_by`` within each file.  With ``dest`` the
+    whole dataset is written there, partitions left alone in as many files as before,
+    and ``path`` stays as it is; without, the compacted partitions take the place of
+    the old files.  ``dry_run`` only reports.
 
-    Returns one row with rows rewritten, files and bytes before and after, and the
-    number of files saved.
+    Returns one row with rows rewritten, files and bytes of the whole dataset before
+    and after, and the number of files saved.
     """
     data = spark.read.parquet(path)
     listing = dataset_files(spark, path)
@@ -51,7 +53,8 @@ def compact(
     before = stats_of(listing).first()
     counts = _row_counts(data, partitions, where)
     # One row per file, used several times: stored once.
-    plan = staged(_slots(counts, partitions, int(target_mb * 1024 * 1024)), "compaction-plan")
+    target_bytes = int(target_mb * 1024 * 1024)
+    plan = staged(_slots(counts, partitions, target_bytes, dest is not None), "compaction-plan")
     totals = plan.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("files"),
@@ -104,23 +107,26 @@ def _row_counts(data: DataFrame, partitions: list[str], where: Column | None) ->
     )
     counts = files.groupBy("file_path", "size", *partitions).agg(F.count(F.lit(1)).alias("rows"))
     # Applied to partition columns only: any other column is an analysis error here.
-    return counts if where is None else counts.where(where)
+    chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    return counts.withColumn("chosen", chosen)
 
 
-def _slots(files: DataFrame, partitions: list[str], target: int) -> DataFrame:
+def _slots(files: DataFrame, partitions: list[str], target: int, every: bool) -> DataFrame:
     """Which output files each input file's bytes go to.
 
     Laid end to end, a partition's files are cut into equal pieces of at most the
-    target size; a piece is an output file and has a number of its own.
+    target size; a piece is an output file and has a number of its own.  Partitions
+    that save no file are left out, or with ``every`` cut into as many as they have.
     """
     same = Window.partitionBy(*partitions) if partitions else Window.partitionBy(F.lit(0))
     earlier = same.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    fewest = F.least(F.ceil(F.col("total") / target), F.col("files"))
     laid_out = (
         files.withColumn("total", F.sum("size").over(same))
         .withColumn("files", F.count(F.lit(1)).over(same))
-        .withColumn("slots", F.ceil(F.col("total") / target))
+        .withColumn("slots", F.when(F.col("chosen"), fewest).otherwise(F.col("files")))
         .withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-        .where(F.col("files") > F.col("slots"))
+        .where(F.lit(True) if every else F.col("files") > F.col("slots"))
     )
     wanted = ("file_path", "rows", "size", "start", "total", "slots", "first_slot")
     if not partitions:

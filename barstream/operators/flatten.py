@@ -21,6 +21,9 @@ MODES = ("permissive", "strict")
 _INT_RANGE = (-(2**31), 2**31 - 1)
 _BIGINT_RANGE = (-(2**63), 2**63 - 1)
 
+#: What the strict mode does not take for JSON: single quotes, bare NaN and Infinity.
+_PLAIN_JSON = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+
 
 def parsed_bars(mode: str = "permissive", columns: Sequence[str] = BAR_COLUMNS) -> Column:
     """The array of bars in ``value``, or NULL for a message that is rejected.
@@ -115,7 +118,7 @@ def _strict() -> Column:
     whole = f"found = size(bars) * {len(BAR_FIELDS)}"
     filled = _named_struct(lambda wire, name, kind: _or_zero(f"bar.`{name}`", kind))
     with_defaults = f"transform(bars, bar -> {filled})"
-    parsed = f"CAST(from_json(text, '{_ddl(0)}') AS {_ddl(1)})"
+    parsed = f"CAST(from_json(text, '{_ddl(0)}', {_PLAIN_JSON}) AS {_ddl(1)})"
     return F.expr(
         rf"""transform(array(CAST(value AS STRING)), text ->
               CASE WHEN text RLIKE r'^\s*\[' THEN transform(array({parsed}), bars ->
@@ -137,7 +140,7 @@ def _by_type_sql() -> str:
         return _or_zero(f"try_cast(try_cast(trim({text}) AS {exact}) AS {_sql(kind)})", kind)
 
     fine = _field_is_fine_sql()
-    return f"""transform(array(from_json(text, 'array<map<string,variant>>')), es ->
+    return f"""transform(array(from_json(text, 'array<map<string,variant>>', {_PLAIN_JSON})), es ->
       CASE WHEN forall(es, e -> e IS NULL OR forall(map_entries(e), f -> {fine}))
            THEN transform(es, e -> CASE WHEN e IS NOT NULL THEN {_named_struct(value)} END)
       END)[0]"""

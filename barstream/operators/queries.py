@@ -126,14 +126,18 @@ def resample_bars(
 
     Works on a stream too, with ``watermark`` saying how late a bar may come.  All
     aggregates combine on the map side, so a hot symbol shuffles one row per task
-    and window.  (symbol, bar_time) is taken to identify a bar.
+    and window.  (symbol, bar_time) is taken to identify a bar.  Weeks begin on Monday.
     """
     if watermark is not None:
         # Watermarks are defined on instants only; windows start at the same times.
         bars = bars.withColumn("bar_time", instant("bar_time"))
         bars = bars.withWatermark("bar_time", watermark)
     traded = F.when(F.col("vwap").isNotNull(), F.col("volume"))
-    coarse = bars.groupBy("symbol", F.window("bar_time", timeframe(to)).alias("w")).agg(
+    length = timeframe(to)
+    # Windows count from the epoch, a Thursday; its first Monday comes four days later.
+    start = "4 days" if to.endswith("Week") else None
+    span = F.window("bar_time", length, length, start) if start else F.window("bar_time", length)
+    coarse = bars.groupBy("symbol", span.alias("w")).agg(
         F.min_by("open", "bar_time").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),

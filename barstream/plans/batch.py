@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ SYMBOL = "click"
 EXCHANGE = "NATION_7"
 
 
-def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_messages(tables.messages(spark, sf_dir))
+def flattened(spark: SparkSession, sf_dir: str, columns: Sequence[str] = BAR_COLUMNS) -> DataFrame:
+    return flatten_messages(tables.messages(spark, sf_dir), columns=columns)
 
 
 @query("flatten", f"SELECT {KEYED_SQL} FROM bars")
@@ -51,7 +53,7 @@ def rejected(spark, sf_dir):
 
 @query("total_events", "SELECT count(*) AS total_events FROM bars")
 def total_events(spark, sf_dir):
-    return queries.total_events(flattened(spark, sf_dir))
+    return queries.total_events(flattened(spark, sf_dir, ["bar_type"]))
 
 
 @query(
@@ -59,12 +61,12 @@ def total_events(spark, sf_dir):
     'SELECT symbol, count(*) AS "count" FROM bars GROUP BY symbol ORDER BY 2 DESC, 1',
 )
 def count_by_symbol(spark, sf_dir):
-    return queries.count_by_symbol(flattened(spark, sf_dir))
+    return queries.count_by_symbol(flattened(spark, sf_dir, ["symbol"]))
 
 
 @query("distinct_symbols", "SELECT DISTINCT symbol FROM bars")
 def distinct_symbols(spark, sf_dir):
-    return queries.distinct_symbols(flattened(spark, sf_dir))
+    return queries.distinct_symbols(flattened(spark, sf_dir, ["symbol"]))
 
 
 @query(
@@ -74,7 +76,7 @@ def distinct_symbols(spark, sf_dir):
         FROM bars WHERE symbol = '{SYMBOL}'""",
 )
 def profile_symbol(spark, sf_dir):
-    return queries.profile_symbol(flattened(spark, sf_dir), SYMBOL)
+    return queries.profile_symbol(flattened(spark, sf_dir, ["symbol", "bar_time"]), SYMBOL)
 
 
 @query(
@@ -83,7 +85,7 @@ def profile_symbol(spark, sf_dir):
         FROM bars WHERE symbol = '{SYMBOL}' GROUP BY 1 ORDER BY 1 DESC""",
 )
 def daily_counts(spark, sf_dir):
-    return queries.daily_counts(flattened(spark, sf_dir), SYMBOL)
+    return queries.daily_counts(flattened(spark, sf_dir, ["symbol", "bar_time"]), SYMBOL)
 
 
 _LATEST = "ORDER BY bar_time DESC, symbol, open, high, low, close, volume LIMIT 10"
@@ -94,7 +96,7 @@ _LATEST = "ORDER BY bar_time DESC, symbol, open, high, low, close, volume LIMIT
     f"SELECT symbol, open, high, low, close, volume, bar_time FROM bars {_LATEST}",
 )
 def latest_bars(spark, sf_dir):
-    return queries.latest_bars(flattened(spark, sf_dir))
+    return queries.latest_bars(flattened(spark, sf_dir, queries.LATEST_COLUMNS))
 
 
 @query(
@@ -105,7 +107,7 @@ def latest_bars(spark, sf_dir):
         FROM (SELECT * FROM bars {_LATEST})""",
 )
 def display_bars(spark, sf_dir):
-    return queries.display_bars(queries.latest_bars(flattened(spark, sf_dir)))
+    return queries.display_bars(latest_bars(spark, sf_dir))
 
 
 @query(
@@ -148,6 +150,21 @@ def resample_hour(spark, sf_dir):
     return coarse.withColumn("vwap", F.round("vwap", 6))
 
 
+@query(
+    "resample_week",
+    """SELECT symbol, CAST(date_trunc('week', bar_time) AS TIMESTAMP) AS bar_time,
+              arg_min(open, bar_time) AS open, max(high) AS high, min(low) AS low,
+              arg_max(close, bar_time) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+              CAST(sum(trade_count) AS BIGINT) AS trade_count,
+              round(sum(vwap * volume) / nullif(sum(volume), 0), 6) AS vwap
+       FROM bars GROUP BY 1, 2""",
+)
+def resample_week(spark, sf_dir):
+    """Weeks from Monday on."""
+    coarse = queries.resample_bars(flattened(spark, sf_dir), "1Week")
+    return coarse.withColumn("vwap", F.round("vwap", 6))
+
+
 @query(
     "typical_price",
     "SELECT event_id, round((high + low + close) / 3, 2) AS typical_price FROM bars",
@@ -175,7 +192,7 @@ def repair_ohlc(spark, sf_dir):
        FROM bars""",
 )
 def bar_rate(spark, sf_dir):
-    rate = queries.bar_rate(flattened(spark, sf_dir))
+    rate = queries.bar_rate(flattened(spark, sf_dir, ["bar_time"]))
     return rate.select(
         "bars",
         F.round("seconds", 6).alias("seconds"),

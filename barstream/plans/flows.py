@@ -234,6 +234,15 @@ def compact_report(spark, sf_dir):
     return done.select("rows", "files_after")
 
 
+@query("compact_dest", f"SELECT {_DATED_SQL} FROM bars")
+def compact_dest(spark, sf_dir):
+    """A compacted copy of a table whose early dates are compact already: all rows."""
+    path, dest = _stored_ticks(spark, sf_dir), scratch(spark, "compacted")
+    maintenance.compact(spark, path, where=F.col("trade_date") < F.lit(CUTOFF.date()))
+    maintenance.compact(spark, path, dest=dest)
+    return spark.read.parquet(dest)
+
+
 @query(
     "retain_since",
     f"SELECT {_DATED_SQL} FROM bars WHERE {_MILLIS} >= TIMESTAMP '{CUTOFF:%Y-%m-%d %H:%M:%S}'",
@@ -244,3 +253,16 @@ def retain_since(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    "retain_since_two_keys",
+    f"SELECT {_DATED_SQL} FROM bars WHERE {_MILLIS} >= TIMESTAMP '{CUTOFF:%Y-%m-%d %H:%M:%S}'",
+)
+def retain_since_two_keys(spark, sf_dir):
+    """The same on a table that is partitioned by symbol below the date."""
+    path = scratch(spark, "ticks")
+    bars = spark.read.parquet(_stored_ticks(spark, sf_dir))
+    bars.write.partitionBy("trade_date", "symbol").parquet(path)
+    maintenance.retain_since(spark, path, CUTOFF)
+    return spark.read.parquet(path)
+
+

@@ -77,6 +77,13 @@ CASES = {
         [nulls(bar_type="success")],
         None,
     ),
+    "single quotes": ("[{'S':'A'}]", [nulls(symbol="A")], None),
+    "bare infinity": ('[{"S":"A","o":Infinity}]', [nulls(symbol="A", open=float("inf"))], None),
+    "quoted infinity": (
+        '[{"S":"A","o":"Infinity"}]',
+        [nulls(symbol="A", open=float("inf"))],
+        [zeros(symbol="A", open=float("inf"))],
+    ),
     "blanks around": (f" [ {OK} ]", [OK_ROW], [OK_ROW]),
     "line breaks": (json.dumps(json.loads(f"[{OK}]"), indent=1), [OK_ROW], [OK_ROW]),
 }

@@ -317,6 +317,40 @@ def test_retain_since(spark, ticks, tmp_path, cutoff):
     assert row.partitions_dropped == max(0, (cutoff.date() - date(2024, 1, 1)).days)
 
 
+@pytest.mark.parametrize("layout", [["trade_date", "symbol"], ["symbol", "trade_date"]])
+def test_retain_since_keeps_every_partition_column(spark, ticks, tmp_path, layout):
+    path, cutoff = str(tmp_path / "two"), datetime(2024, 1, 15, 10, 30)
+    spark.read.parquet(ticks).write.partitionBy(*layout).parquet(path)
+    wanted = spark.read.parquet(ticks).where(F.col("bar_time") >= F.lit(cutoff).cast("timestamp_ntz"))
+    expected, columns = rows_of(wanted), wanted.columns
+    retain_since(spark, path, cutoff, dest=str(tmp_path / "dest"))
+    row = retain_since(spark, path, cutoff).first()
+    assert row.partitions_dropped == 14 and row.rows_removed > 0
+    for place in (path, str(tmp_path / "dest")):
+        assert rows_of(spark.read.parquet(place).select(*columns)) == expected
+
+
+def test_retain_since_wants_a_date_partition(spark, ticks, tmp_path):
+    path = str(tmp_path / "flat")
+    spark.read.parquet(ticks).drop("trade_date").write.parquet(path)
+    with pytest.raises((ValueError, AnalysisException)):
+        retain_since(spark, path, datetime(2024, 1, 15))
+
+
+def test_compact_dest_is_complete(spark, ticks, tmp_path):
+    early = F.col("trade_date") <= F.lit(date(2024, 1, 15))
+    compact(spark, ticks, where=early)
+    before = rows_of(spark.read.parquet(ticks))
+    files, dest = len(parquet_files(ticks)), str(tmp_path / "dest")
+    dates = spark.read.parquet(ticks).select("trade_date").distinct().count()
+    done = compact(spark, ticks, dest=dest).first()
+    assert rows_of(spark.read.parquet(dest)) == before and done.rows == len(before)
+    assert (done.files_before, done.files_after, done.files_reduced) == (files, dates, files - dates)
+    some = str(tmp_path / "some")
+    done = compact(spark, ticks, dest=some, where=early).first()
+    assert rows_of(spark.read.parquet(some)) == before and done.files_reduced == 0
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
