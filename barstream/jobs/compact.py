@@ -1,7 +1,7 @@
 """Compact a Parquet dataset and print its statistics before and after.
 
 ``python -m barstream.jobs.compact --path s3a://lake/ticks
---partition-filter "trade_date >= '2024-11-01'"``
+--partition-filter "trade_date >= '2023-02-06'"``
 """
 
 from __future__ import annotations
