@@ -61,15 +61,20 @@ def as_messages(batches: DataFrame, topic: str, partitions: int = 3) -> DataFram
     )
 
 
+def archive_chunks(messages: DataFrame, size: int = RECORDS_PER_OBJECT) -> DataFrame:
+    """Add ``chunk``: which run of ``size`` consecutive records of its topic partition."""
+    chunks = with_batch_id(messages, size, ["offset"], ["topic", "partition"])
+    return chunks.withColumnRenamed("batch_id", "chunk")
+
+
 def archive_manifest(messages: DataFrame, size: int = RECORDS_PER_OBJECT) -> DataFrame:
     """First offset and record count of each archive object of a topic partition.
 
     Offsets may have gaps: an object holds ``size`` consecutive records.
     """
-    place = messages.select("topic", "partition", "offset")
-    chunks = with_batch_id(place, size, ["offset"], ["topic", "partition"])
+    chunks = archive_chunks(messages.select("topic", "partition", "offset"), size)
     return (
-        chunks.groupBy("topic", "partition", F.col("batch_id").alias("chunk"))
+        chunks.groupBy("topic", "partition", "chunk")
         .agg(F.min("offset").alias("start_offset"), F.count(F.lit(1)).alias("records"))
         .withColumn(
             "object_name",
@@ -98,8 +103,8 @@ def batch_symbols(batches: DataFrame) -> DataFrame:
 def batch_totals(pages: DataFrame) -> DataFrame:
     """Bars, pages and distinct symbols per request batch, and in total.
 
-    ``pages`` has ``batch_id`` and the response text ``value``.  The row with NULL
-    ``batch_id`` is the total.  A symbol listed with an empty array counts as seen;
+    ``pages`` has ``batch_id`` and the response text ``value``.  ``is_total`` marks
+    the total; pages without a batch have a row of their own.  A symbol listed with an empty array counts as seen;
     a page without symbols does not count.
     """
     counted = bars_per_symbol(pages, ("batch_id",), position="at")
@@ -109,6 +114,7 @@ def batch_totals(pages: DataFrame) -> DataFrame:
         F.sum("bars").alias("bars"), F.count_if(F.col("at") == 0).alias("pages")
     )
     return per_symbol.rollup("batch_id").agg(
+        (F.grouping("batch_id") == 1).alias("is_total"),
         F.sum("bars").alias("bars"),
         F.sum("pages").alias("pages"),
         F.countDistinct("symbol").alias("symbols"),

@@ -335,11 +335,13 @@ def manifest(spark, sf_dir):
          SELECT o_custkey // 100 + 1 AS batch_id, o_orderkey // 10000 AS page_id, count(*) AS bars
          FROM orders GROUP BY 1, 2),
        symbols AS (SELECT DISTINCT o_custkey // 100 + 1 AS batch_id, o_custkey FROM orders)
-       SELECT p.batch_id, p.bars, p.pages, s.symbols
-       FROM (SELECT batch_id, CAST(sum(bars) AS BIGINT) AS bars, count(*) AS pages
+       SELECT p.batch_id, p.is_total, p.bars, p.pages, s.symbols
+       FROM (SELECT batch_id, grouping(batch_id) = 1 AS is_total,
+                    CAST(sum(bars) AS BIGINT) AS bars, count(*) AS pages
              FROM pages GROUP BY ROLLUP (batch_id)) p
-       JOIN (SELECT batch_id, count(*) AS symbols FROM symbols GROUP BY ROLLUP (batch_id)) s
-         ON p.batch_id IS NOT DISTINCT FROM s.batch_id""",
+       JOIN (SELECT batch_id, grouping(batch_id) = 1 AS is_total, count(*) AS symbols
+             FROM symbols GROUP BY ROLLUP (batch_id)) s
+         ON p.batch_id IS NOT DISTINCT FROM s.batch_id AND p.is_total = s.is_total""",
 )
 def batch_totals(spark, sf_dir):
     return batching.batch_totals(tables.order_pages(spark, sf_dir))

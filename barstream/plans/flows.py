@@ -91,11 +91,34 @@ def stream_fanout(spark, sf_dir):
     )
 
 
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as they were sent, with ``turn``; 20 a turn."""
+    path, out = scratch(spark, "replay"), scratch(spark, "out")
+    streaming.stage_replay(tables.messages(spark, sf_dir), path)
+    streaming.replay_messages(
+        spark,
+        path,
+        lambda sent, turn: sent.write.mode("overwrite").parquet(f"{out}/turn={turn}"),
+        checkpoint=f"{out}-checkpoint",
+        messages_per_trigger=20,
+        trigger=None,
+    )
+    return spark.read.parquet(out)
+
+
 @query("replay_stream", f"SELECT {KEYED_SQL} FROM bars")
 def replay(spark, sf_dir):
-    path = scratch(spark, "replay")
-    streaming.stage_replay(tables.messages(spark, sf_dir), path, messages_per_trigger=100)
-    return _drained(flatten_messages(streaming.replay_stream(spark, path, 4)), spark)
+    return flatten_messages(_replayed(spark, sf_dir))
+
+
+@query(
+    "replay_order",
+    """SELECT CAST(m // 20 AS INTEGER) AS turn, CAST(m % 3 AS INTEGER) AS partition, m // 3 AS "offset"
+       FROM (SELECT DISTINCT event_id // 100 AS m FROM events)""",
+)
+def replay_order(spark, sf_dir):
+    """Which messages each turn sent: consecutive ones, by offset and partition."""
+    return _replayed(spark, sf_dir).select("turn", "partition", "offset")
 
 
 @query(
@@ -154,6 +177,24 @@ def archive_roundtrip(spark, sf_dir):
     return flatten_messages(sinks.read_archive(spark, path))
 
 
+@query(
+    "archive_objects",
+    """SELECT 'bars' AS topic, CAST(m % 3 AS INTEGER) AS partition, m // 3 // 10 * 10 AS start_offset,
+              count(*) AS records, CAST(1 AS BIGINT) AS files
+       FROM (SELECT DISTINCT event_id // 100 AS m FROM events)
+       GROUP BY ALL""",
+)
+def archive_objects(spark, sf_dir):
+    """The objects of an archive of ten records each, whose input comes in any order."""
+    path = scratch(spark, "archive")
+    messages = tables.messages(spark, sf_dir).repartition(7, "key")
+    sinks.write_archive(messages, path, max_records=10)
+    lines = sinks.read_archive(spark, path).withColumn("file", F.input_file_name())
+    return lines.groupBy("topic", "partition", "start_offset").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("file").alias("files")
+    )
+
+
 @query("raw_roundtrip", f"SELECT {KEYED_SQL} FROM bars")
 def raw_roundtrip(spark, sf_dir):
     path = scratch(spark, "raw")
@@ -205,14 +246,33 @@ def ctas(spark, sf_dir):
     return sinks.ctas(bars, name, partition_by=["symbol"], location=location).select(*BAR_COLUMNS)
 
 
-@query("file_stats")
+def _stored_texts(spark: SparkSession, sf_dir: str) -> str:
+    """The document texts as plain text, one file per source."""
+    path = scratch(spark, "texts")
+    texts = tables.table(spark, sf_dir, "documents").select("source", "text")
+    texts.repartition("source").write.partitionBy("source").text(path)
+    return path
+
+
+_TEXT_FILES = """SELECT source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS file_size_in_bytes
+                 FROM documents GROUP BY source"""
+
+
+@query(
+    "file_stats",
+    f"""SELECT file_count, total_bytes, total_bytes / 1048576 AS total_mb,
+               total_bytes / 1048576 / file_count AS avg_file_size_mb
+        FROM (SELECT count(*) AS file_count, CAST(sum(file_size_in_bytes) AS BIGINT) AS total_bytes
+              FROM ({_TEXT_FILES}))""",
+)
 def file_stats(spark, sf_dir):
-    return maintenance.file_stats(spark, _stored_ticks(spark, sf_dir))
+    return maintenance.file_stats(spark, _stored_texts(spark, sf_dir), "*.txt")
 
 
-@query("list_files")
+@query("list_files", _TEXT_FILES)
 def list_files(spark, sf_dir):
-    return maintenance.list_files(spark, _stored_ticks(spark, sf_dir))
+    files = maintenance.list_files(spark, _stored_texts(spark, sf_dir), "*.txt")
+    return files.select("source", "file_size_in_bytes")
 
 
 @query("compact", f"SELECT {_DATED_SQL} FROM bars")

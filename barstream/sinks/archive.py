@@ -1,17 +1,18 @@
-"""The raw archive: message values as gzip JSON lines, by topic and partition."""
+"""The raw archive: message values as gzip JSON lines, in objects of consecutive offsets."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.batching import RECORDS_PER_OBJECT
+from ..operators.batching import RECORDS_PER_OBJECT, archive_chunks
 from .starting import stream_writer
 
 #: How often a stream rolls its archive files.
 ROLL_INTERVAL = "60 seconds"
 _PLACE = ("topic", "partition")
+_OBJECT = (*_PLACE, "start_offset")
 
 
 def write_archive(
@@ -22,24 +23,47 @@ def write_archive(
     checkpoint: str | None = None,
     trigger: str | None = ROLL_INTERVAL,
 ) -> StreamingQuery | None:
-    """Append the message values to the archive, ``max_records`` per file at most.
+    """Archive the message values, in one file per object that ``archive_manifest`` lists.
 
-    Needs no shuffle: the source already delivers a topic partition per task, and
-    within a task the records are sorted by partition and offset.
+    An object holds up to ``max_records`` consecutive records of a topic partition and
+    lies in a directory named by its first offset.  A batch is appended.  A stream also
+    ends its objects with each micro-batch and overwrites them by name, so that a
+    micro-batch that is repeated after a failure is archived once.
     """
-    layout = {"compression": "gzip", "maxRecordsPerFile": str(max_records)}
-    text = F.col("value").cast("string").alias("value")
-    if messages.isStreaming:
-        # The streaming text sink takes text partition columns only.
-        lines = messages.select("topic", F.col("partition").cast("string"), text)
-        writer = stream_writer(lines, checkpoint, trigger).format("text").options(**layout)
-        return writer.partitionBy(*_PLACE).option("path", path).start()
-    lines = messages.sortWithinPartitions(*_PLACE, "offset").select(*_PLACE, text)
-    lines.write.partitionBy(*_PLACE).options(**layout).mode("append").text(path)
-    return None
+    if not messages.isStreaming:
+        _write(archive_chunks(messages, max_records), path, "append")
+        return None
+
+    # A micro-batch holds one interval of a topic partition, which one task has read.
+    number = F.row_number().over(Window.partitionBy(*_PLACE).orderBy("offset")) - 1
+    chunk = F.floor(number / max_records)
+
+    def archive(batch: DataFrame, batch_id: int) -> None:
+        _write(batch.withColumn("chunk", chunk), path, "overwrite")
+
+    return stream_writer(messages, checkpoint, trigger).foreachBatch(archive).start()
+
+
+def _write(chunked: DataFrame, path: str, mode: str) -> None:
+    # The window brings each chunk, of bounded size, into one task and so into one file.
+    first = F.min("offset").over(Window.partitionBy(*_PLACE, "chunk"))
+    lines = (
+        chunked.withColumn("start_offset", first)
+        .sortWithinPartitions(*_OBJECT, "offset")
+        .select(*_OBJECT, F.col("value").cast("string").alias("value"))
+    )
+    layout = {"compression": "gzip", "partitionOverwriteMode": "dynamic"}
+    lines.write.partitionBy(*_OBJECT).options(**layout).mode(mode).text(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Archived messages: ``value``, ``topic`` and ``partition``."""
-    lines = spark.read.schema("value string, topic string, partition string").text(path)
-    return lines.withColumn("partition", F.col("partition").cast("int"))
+    """Archived messages: ``value``, ``topic``, ``partition`` and their object's ``start_offset``."""
+    lines = spark.read.schema(
+        "value string, topic string, partition string, start_offset string"
+    ).text(path)
+    return lines.withColumns(
+        {
+            "partition": F.col("partition").cast("int"),
+            "start_offset": F.col("start_offset").cast("bigint"),
+        }
+    )

@@ -3,7 +3,7 @@
 from .dashboard import dashboard_stream, read_dashboard
 from .fanout import OUTPUT_MODES, await_queries, run_pipeline, start_pipeline
 from .metrics import FlowMetrics, flow_counters, observe_flow
-from .replay import replay_stream, stage_replay
+from .replay import replay_messages, stage_replay
 
 __all__ = [
     "FlowMetrics",
@@ -13,7 +13,7 @@ __all__ = [
     "flow_counters",
     "observe_flow",
     "read_dashboard",
-    "replay_stream",
+    "replay_messages",
     "run_pipeline",
     "stage_replay",
     "start_pipeline",

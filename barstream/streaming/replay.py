@@ -1,30 +1,71 @@
-"""Paced replay of history as messages."""
+"""Paced replay of history as messages, in order."""
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.messages import read_messages_stream
+from ..operators.numbering import number_rows
+from ..sinks.starting import stream_writer
 
 # Fixed value: seconds between two replayed messages.
 REPLAY_INTERVAL = "10 seconds"
 
+#: The place of a message in the replay, from 0.
+NUMBER = "message_number"
+
 
-def stage_replay(messages: DataFrame, path: str, messages_per_trigger: int = 1) -> None:
-    """Write messages as files that each hold one trigger's worth, in offset order.
+def stage_replay(messages: DataFrame, path: str) -> None:
+    """Number the messages by offset, then partition, and store them in that order.
 
-    Ranges of messages are spread over tasks, so staging scales with the cluster.  A
-    stream takes files in the order they were finished, which follows the ranges only
-    roughly; the messages carry their offsets for consumers that need more.
+    Files have ordinary sizes and hold neighbouring numbers, so that a turn of the
+    replay reads only the row groups its numbers lie in.
     """
-    ordered = messages.repartitionByRange("offset", "partition")
-    ordered = ordered.sortWithinPartitions("offset", "partition")
-    ordered.write.option("maxRecordsPerFile", messages_per_trigger).parquet(path)
+    numbered = number_rows(messages, ["offset", "partition"], name=NUMBER)
+    numbered.repartitionByRange(NUMBER).sortWithinPartitions(NUMBER).write.parquet(path)
 
 
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The staged messages as a stream that takes ``files_per_trigger`` files a time.
+def replay_messages(
+    spark: SparkSession,
+    path: str,
+    send: Callable[[DataFrame, int], None],
+    *,
+    checkpoint: str,
+    messages_per_trigger: int = 1,
+    trigger: str | None = REPLAY_INTERVAL,
+) -> None:
+    """Send the staged messages in order, some at each trigger, and return after the last.
 
-    Start it with ``REPLAY_INTERVAL`` as the sink's trigger for the usual pace.
+    ``send`` gets the messages of a turn, sorted by ``NUMBER``, and the turn's number.  A
+    replay that was stopped goes on from its checkpoint; a turn that had begun is
+    sent again under the same number, so a sink that overwrites by it counts it once.
     """
-    return read_messages_stream(spark, path, files_per_trigger=files_per_trigger)
+    messages = spark.read.parquet(path)
+    last = messages.agg(F.max(NUMBER)).first()[0]
+    if last is None:
+        return
+    finished = threading.Event()
+
+    def turn(numbers: DataFrame, turn_number: int) -> None:
+        span = numbers.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+        if span.low is None:
+            return
+        if span.low <= last:
+            send(messages.where(F.col(NUMBER).between(*span)).orderBy(NUMBER), turn_number)
+        if span.high >= last:
+            finished.set()
+
+    numbers = (
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", messages_per_trigger)
+        .option("numPartitions", 1)
+        .load()
+    )
+    running = stream_writer(numbers, checkpoint, trigger).foreachBatch(turn).start()
+    while not finished.is_set():
+        if running.awaitTermination(0.2):  # raises what made the stream fail
+            return
+    running.stop()

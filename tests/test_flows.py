@@ -54,9 +54,10 @@ def test_archive_files(spark, tmp_path):
         (F.col("id") % 2).cast("int").alias("partition"),
         F.expr("id div 2").alias("offset"),
     )
-    sinks.write_archive(messages.coalesce(1), path)
+    sinks.write_archive(messages.repartition(4, "value"), path)
     files = sorted(Path(path).rglob("*.gz"))
-    assert {p.parent.relative_to(path).as_posix() for p in files} == {"topic=t/partition=0", "topic=t/partition=1"}
+    places = sorted(p.parent.relative_to(path).as_posix() for p in files)
+    assert places == [f"topic=t/partition={p}/start_offset={o}" for p in (0, 1) for o in (0, 1000)]
     lines = {p: gzip.open(p, "rt").read().splitlines() for p in files}
     assert sorted(map(len, lines.values())) == [250, 250, 1000, 1000]
     for content in lines.values():
@@ -182,12 +183,29 @@ def test_replay_takes_one_message_at_a_time(spark, sf_dir, tmp_path):
     path = str(tmp_path / "replay")
     messages = tables.messages(spark, sf_dir).where("offset < 2")
     streaming.stage_replay(messages, path)
-    assert len(parquet_files(path)) == messages.count()
-    flat = flatten_messages(streaming.replay_stream(spark, path))
-    writer = stream_writer(flat, str(tmp_path / "c"), AVAILABLE_NOW)
-    query = writer.format("parquet").option("path", str(tmp_path / "out")).start()
-    query.awaitTermination()
-    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [1] * messages.count()
+    sent = []
+    again = {"checkpoint": str(tmp_path / "c"), "trigger": None}
+
+    def send(turn, number):
+        sent.append((number, [(r.offset, r.partition) for r in turn.collect()]))
+
+    streaming.replay_messages(spark, path, send, **again)
+    places = sorted((r.offset, r.partition) for r in messages.collect())
+    assert sent == [(i, [place]) for i, place in enumerate(places)]
+    before = list(sent)
+    streaming.replay_messages(spark, path, send, **again)
+    assert sent in (before, before + before[-1:])
+
+
+def test_replay_reports_a_failing_sink(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "replay")
+    streaming.stage_replay(tables.messages(spark, sf_dir), path)
+
+    def send(turn, number):
+        raise RuntimeError("sink is down")
+
+    with pytest.raises(Exception, match="sink is down"):
+        streaming.replay_messages(spark, path, send, checkpoint=str(tmp_path / "c"), trigger=None)
 
 
 def test_dashboard(spark, stored, tmp_path):

@@ -154,8 +154,10 @@ def test_symbol_map(spark):
     ]
     counts = {r.symbol: r.bars for r in bars_per_symbol(pages).collect()}
     assert counts == {"A": 2, "B": 0}
-    totals = {r.batch_id: (r.bars, r.pages, r.symbols) for r in batching.batch_totals(pages).collect()}
-    assert totals == {1: (2, 1, 2), None: (2, 1, 2)}
+    unbatched = spark.createDataFrame([(None, '{"bars":{"A":[{"o":3}]}}')], "batch_id int, value string")
+    found = batching.batch_totals(pages.union(unbatched)).collect()
+    totals = {(r.batch_id, r.is_total): (r.bars, r.pages, r.symbols) for r in found}
+    assert totals == {(1, False): (2, 1, 2), (None, False): (1, 1, 1), (None, True): (3, 2, 2)}
 
 
 @pytest.fixture(scope="module")
