@@ -1,12 +1,12 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine, block-max index."""
+"""Toxicity by nearest labelled examples: exact cosine of weighted TF-IDF, block-max index."""
 
 from __future__ import annotations
 
-import heapq
+import hashlib
 import math
-import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,71 +15,137 @@ from pyspark.sql import functions as F
 
 from barstream.llm.common import text_of
 from barstream.llm.quality import label_counts, labelled_sample
-from barstream.session import staged
 
-#: Bounds of what is fitted: labelled rows per class, terms kept, and the test they pass.
+#: Labelled rows per class; they bound all that is fitted.
 EXAMPLES = 4_000
-TERMS = 4_096
-CHI_SQUARE = 20.0
 BLOCK = 64
+#: A term in more than one of so many examples is common; sums in short numbers are
+#: within half of ``SHORT`` of the exact ones; so many queries go at once.
+COMMON = 16
+SHORT = 1e-4
+AT_ONCE = 64
 NEIGHBOURS = 15
 EVIDENCE = 3
-#: Query vectors whose result a task remembers; most short vectors come again.
+#: Texts whose result a task remembers; short ones and copies come again.
 MEMORY = 1 << 16
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_BLANK = bytes(
+    b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" or b >= 128 else b + 32 if 65 <= b <= 90 else 32
+    for b in range(256)
+)
 
 
 def terms_of(text: str | None) -> list[bytes]:
     """Words of letters and digits, lower-cased in A-Z."""
-    return _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
+    return (text or "").encode("utf-8", "surrogatepass").translate(_BLANK).split()
 
 
 class BlockMaxIndex:
     """Inverted index over unit vectors with the largest weight of each block."""
 
-    def __init__(self, vectors: list[dict[bytes, float]]):
-        self.size = len(vectors)
-        self.blocks = -(-self.size // BLOCK)
-        postings: dict[bytes, list[tuple[int, float]]] = {}
-        for at, vector in enumerate(vectors):
+    def __init__(self, vectors: Iterable[dict[bytes, float]]):
+        self.terms: dict[bytes, int] = {}
+        terms, docs, weights = array("l"), array("l"), array("d")
+        self.size = 0
+        for vector in vectors:
             for term, weight in vector.items():
-                postings.setdefault(term, []).append((at, weight))
-        self.postings = {}
-        for term, rows in postings.items():
-            docs = np.array([d for d, _ in rows], np.int64)
-            weights = np.array([w for _, w in rows])
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, docs // BLOCK, weights)
-            cuts = np.searchsorted(docs, np.arange(self.blocks + 1) * BLOCK)
-            self.postings[term] = (docs, weights, most, cuts)
+                terms.append(self.terms.setdefault(term, len(self.terms)))
+                docs.append(self.size)
+                weights.append(weight)
+            self.size += 1
+        at = np.frombuffer(terms, np.int64) if terms else np.zeros(0, np.int64)
+        order = np.argsort(at, kind="stable")
+        self.docs = np.array(docs, np.int64)[order]
+        self.weights = np.array(weights, np.float64)[order]
+        self.counts = np.bincount(at, minlength=len(self.terms))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.blocks = -(-self.size // BLOCK)
+        # Terms of many examples as dense columns, also in short numbers.
+        common = np.flatnonzero(self.counts * COMMON > self.size)
+        self.column = np.full(len(self.terms), -1, np.int64)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.zeros((self.blocks * BLOCK, len(common)))
+        for i, t in enumerate(common):
+            held = slice(self.starts[t], self.starts[t] + self.counts[t])
+            self.dense[self.docs[held], i] = self.weights[held]
+        self.short = self.dense.T.astype(np.float32)
 
     def nearest(self, query: dict[bytes, float], k: int) -> list[tuple[float, int]]:
-        """The ``k`` largest positive cosines as (cosine, position), ties by position.
+        """The ``k`` largest positive cosines as (cosine, position), ties by position."""
+        return self.nearest_of([query], k)[0]
+
+    def nearest_of(self, queries: list[dict[bytes, float]], k: int) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each query.
 
-        Blocks are taken by falling upper bound until no other can still enter.
+        The common terms are added in short numbers, all queries at once.  A block is
+        opened only where its largest sum, and an example is only added up exactly
+        where its own sum, reaches the ``k``-th largest within ``SHORT``.
         """
-        lists = [(w, self.postings[t]) for t, w in query.items() if t in self.postings]
-        if not lists:
-            return []
-        bound = np.zeros(self.blocks)
-        for weight, (_, _, most, _) in lists:
-            bound += weight * most
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[0][0] - 1e-12:
-                break
-            cosines = np.zeros(BLOCK)
-            for weight, (docs, weights, _, cuts) in lists:
-                a, b = cuts[block], cuts[block + 1]
-                cosines[docs[a:b] - block * BLOCK] += weight * weights[a:b]
-            for i in np.flatnonzero(cosines > 0):
-                entry = (round(float(cosines[i]), 12), -int(block * BLOCK + i))
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(c, -at) for c, at in sorted(best, reverse=True)]
+        padded = self.blocks * BLOCK
+        if not self.size:
+            return [[] for _ in queries]
+        heavy = np.zeros((len(queries), self.dense.shape[1]))
+        rare = np.zeros((len(queries), padded))
+        for i, query in enumerate(queries):
+            found = [(self.terms[t], w) for t, w in query.items() if t in self.terms]
+            at = np.fromiter((t for t, _ in found), np.int64, len(found))
+            weight = np.fromiter((w for _, w in found), np.float64, len(found))
+            column = self.column[at]
+            heavy[i, column[column >= 0]] = weight[column >= 0]
+            at, weight = at[column < 0], weight[column < 0]
+            counts = self.counts[at]
+            ends = np.cumsum(counts)
+            spots = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)
+            added = self.weights[spots] * np.repeat(weight, counts)
+            rare[i] = np.bincount(self.docs[spots], weights=added, minlength=padded)
+        sums = rare.astype(np.float32) + heavy.astype(np.float32) @ self.short
+        tops = sums.reshape(len(queries), self.blocks, BLOCK).max(2)
+        out = []
+        for i in range(len(queries)):
+            least = np.partition(tops[i], self.blocks - k)[self.blocks - k] if k < self.blocks else 0.0
+            opened = np.flatnonzero(tops[i] >= least - SHORT)
+            left = (opened[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            if k < len(left):
+                least = np.partition(sums[i, left], len(left) - k)[len(left) - k]
+                left = left[sums[i, left] >= least - SHORT]
+            left = left[sums[i, left] > 0]
+            columns = np.flatnonzero(heavy[i])
+            exact = rare[i, left] + (self.dense[left[:, None], columns] * heavy[i, columns]).sum(1)
+            exact = np.round(exact, 12)
+            left, exact = left[exact > 0], exact[exact > 0]
+            best = np.lexsort((left, -exact))[:k]
+            out.append([(float(exact[j]), int(left[j])) for j in best])
+        return out
+
+
+def relevance(examples) -> dict[bytes, float]:
+    """One and chi-square of each term's presence and the label.
+
+    It weighs terms and drops none: by TF-IDF alone the many words that say nothing
+    about the label decide which example is near.
+    """
+    held, n = (Counter(), Counter()), [0, 0]
+    for _, label, tf in examples:
+        held[label].update(tf.keys())
+        n[label] += 1
+    weights, total = {}, sum(n)
+    for term in held[0].keys() | held[1].keys():
+        a, b = held[1][term], held[0][term]
+        below = (a + b) * (total - a - b) * n[0] * n[1]
+        cross = a * (n[0] - b) - b * (n[1] - a)
+        weights[term] = 1 + (total * cross * cross / below if below else 0.0)
+    return weights
+
+
+class Examples:
+    """``(doc_id, label, terms and their counts)`` in order, unpacked one at a time."""
+
+    def __init__(self, rows: list[tuple[int, int, bytes, bytes]]):
+        self.rows = rows
+
+    def __iter__(self) -> Iterator[tuple[int, int, dict[bytes, int]]]:
+        for doc_id, label, terms, counts in self.rows:
+            yield doc_id, label, dict(zip(terms.split(), np.frombuffer(counts, np.int64).tolist()))
 
 
 class ToxicityModel:
@@ -89,20 +155,21 @@ class ToxicityModel:
         self.idf = idf
         sample = Counter(label for _, label, _ in examples)
         self.stands = [counts[v] / max(1, sample[v]) for v in (0, 1)]
-        prior = (counts[1] + 0.5) / (sum(counts) + 1)
-        vectors, self.ids, self.labels, blank = [], [], [], [0.0, 0.0]
-        # Examples of like terms share blocks, which keeps the bounds of the others low.
-        for doc_id, label, tf in sorted(examples, key=lambda e: (sorted(e[2]), e[1], e[0])):
-            vector = self.vector(tf)
-            if vector:
-                vectors.append(vector)
-                self.ids.append(doc_id)
-                self.labels.append(label)
-            else:
-                blank[label] += self.stands[label]
-        self.prior = prior
-        self.blank = (blank[1] + prior) / (sum(blank) + 1)
-        self.index = BlockMaxIndex(vectors)
+        self.prior = (counts[1] + 0.5) / (sum(counts) + 1)
+        self.ids, self.labels, blank = [], [], [0.0, 0.0]
+
+        def vectors() -> Iterator[dict[bytes, float]]:
+            for doc_id, label, tf in examples:
+                vector = self.vector(tf)
+                if vector:
+                    self.ids.append(doc_id)
+                    self.labels.append(label)
+                    yield vector
+                else:
+                    blank[label] += self.stands[label]
+
+        self.index = BlockMaxIndex(vectors())
+        self.blank = (blank[1] + self.prior) / (sum(blank) + 1)
 
     def vector(self, tf: dict[bytes, int]) -> dict[bytes, float]:
         weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in tf.items() if t in self.idf}
@@ -111,7 +178,16 @@ class ToxicityModel:
 
     def score(self, tf: dict[bytes, int]) -> tuple[float, list[tuple[int, float, int]]]:
         """The share of toxic votes, weighted by squared cosine, and the nearest examples."""
-        near = self.index.nearest(self.vector(tf), NEIGHBOURS)
+        return self.vote(self.index.nearest(self.vector(tf), NEIGHBOURS))
+
+    def score_of(self, tfs: list[dict[bytes, int]]) -> list[tuple]:
+        vectors = [self.vector(tf) for tf in tfs]
+        near = []
+        for i in range(0, len(vectors), AT_ONCE):
+            near += self.index.nearest_of(vectors[i : i + AT_ONCE], NEIGHBOURS)
+        return [self.vote(n) for n in near]
+
+    def vote(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[int, float, int]]]:
         if not near:
             return self.blank, []
         votes = [self.prior, 1.0]
@@ -124,20 +200,23 @@ class ToxicityModel:
 
 
 def _document_frequencies(docs: DataFrame, terms: set[bytes]) -> tuple[int, dict[bytes, int]]:
-    """How many of all documents hold each term; one small row per term and batch moves."""
+    """How many of all documents hold each term; one small row per term and task moves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, total = Counter(), 0
         for batch in batches:
-            found = Counter()
             for text in batch.column(0).to_pylist():
                 found.update(terms.intersection(terms_of(text)))
-            yield pa.RecordBatch.from_pydict(
-                {"term": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())}
-            )
+                total += 1
+        found = {b" ": total, **found}
+        yield pa.RecordBatch.from_pydict(
+            {"term": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())}
+        )
 
     rows = docs.select("text").mapInArrow(count, "term binary, n long")
-    found = rows.groupBy("term").agg(F.sum("n").alias("n")).collect()
-    return docs.count(), {bytes(r["term"]): r["n"] for r in found}
+    rows = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = dict(zip(*(c.to_pylist() for c in rows.columns)))
+    return found.pop(b" ", 0), found
 
 
 def fit_toxicity(
@@ -145,68 +224,35 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Fit on at most ``examples`` labelled documents per class for which ``allowed`` holds.
 
-    The vocabulary are the (at most ``TERMS``) terms whose presence depends on the label
-    by a chi-square test on the examples; their document frequencies are those of the
-    whole corpus.  Examples, terms and frequencies are bounded and go to the tasks.
+    The vocabulary are all terms of the examples; their document frequencies are those
+    of the whole corpus.  Both are bounded by the examples and go to the tasks.
     """
     sample = labelled_sample(labels, "toxic", allowed, examples)
-    texts = staged(docs.select("doc_id", text_of("text").alias("text")).join(sample, "doc_id"), "toxic-texts")
-
-    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {0: Counter(), 1: Counter()}
-            for label, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found[label].update(set(terms_of(text)))
-            rows = [(t, v, n) for v, c in found.items() for t, n in c.items()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[i] for r in rows], kind)
-                    for i, kind in enumerate((pa.binary(), pa.int32(), pa.int64()))
-                ],
-                names=["term", "label", "n"],
-            )
-
-    n = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
-    n0, n1 = n.get(0, 0), n.get(1, 0)
-    per = texts.select("label", "text").mapInArrow(present, "term binary, label int, n long")
-    per = per.groupBy("term").agg(
-        *[F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(f"n{v}") for v in (0, 1)]
-    )
-    a, b, total = F.col("n1"), F.col("n0"), n0 + n1
-    cross = (a * (n0 - b) - b * (n1 - a)).cast("double")
-    below = (a + b).cast("double") * (total - a - b) * max(1, n0) * max(1, n1)
-    tested = per.withColumn(
-        "chi", F.when(below > 0, F.lit(float(total)) * cross * cross / below).otherwise(0.0)
-    )
-    chosen = tested.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS)
-    terms = {bytes(r["term"]) for r in chosen.select("term").collect()}
-    if not terms:
-        return ToxicityModel([], {}, label_counts(labels, "toxic", allowed))
-    total_docs, held = _document_frequencies(docs, terms)
-    idf = {t: 1 + math.log((1 + total_docs) / (1 + held.get(t, 0))) for t in terms}
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, labels_, tfs = [], [], []
-            for doc_id, label, text in zip(*(c.to_pylist() for c in batch.columns)):
-                tf = Counter(t for t in terms_of(text) if t in terms)
-                ids.append(doc_id)
-                labels_.append(label)
-                tfs.append(list(tf.items()))
+            ids, labels_, texts = (c.to_pylist() for c in batch.columns)
+            tfs = [Counter(terms_of(text)) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(labels_, pa.int32()),
-                    pa.array(tfs, pa.map_(pa.binary(), pa.int64())),
+                    pa.array([b" ".join(tf) for tf in tfs], pa.binary()),
+                    pa.array([np.array(list(tf.values()), np.int64).tobytes() for tf in tfs], pa.binary()),
                 ],
-                names=["doc_id", "label", "tf"],
+                names=["doc_id", "label", "terms", "counts"],
             )
 
-    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text").mapInArrow(
-        vectors, "doc_id long, label int, tf map<binary,long>"
-    )
-    rows = rows.orderBy("doc_id").limit(4 * examples).collect()
-    found = [(r["doc_id"], r["label"], {bytes(t): n for t, n in r["tf"].items()}) for r in rows]
+    rows = texts.join(sample, "doc_id").select("doc_id", "label", "text")
+    rows = rows.mapInArrow(count, "doc_id long, label int, terms binary, counts binary")
+    rows = rows.orderBy("doc_id").limit(4 * examples).toArrow()
+    found = Examples(list(zip(*(c.to_pylist() for c in rows.columns))))
+    weights = relevance(found)
+    if not weights:
+        return ToxicityModel([], {}, label_counts(labels, "toxic", allowed))
+    total_docs, held = _document_frequencies(docs, set(weights))
+    idf = {t: w * (1 + math.log((1 + total_docs) / (1 + held.get(t, 0)))) for t, w in weights.items()}
     return ToxicityModel(found, idf, label_counts(labels, "toxic", allowed))
 
 
@@ -221,20 +267,20 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
     )
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[tuple, tuple] = {}
+        memory: dict[bytes, tuple] = {}
         for batch in batches:
             ids, texts = batch.columns
-            scores, evidence = [], []
-            for text in texts.to_pylist():
-                tf = Counter(t for t in terms_of(text) if t in model.idf)
-                key = tuple(sorted(tf.items()))
-                if key not in memory:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    memory[key] = model.score(tf)
-                rate, near = memory[key]
-                scores.append(rate)
-                evidence.append([{"doc_id": d, "cosine": c, "toxic": v} for d, c, v in near])
+            scores, evidence, texts = [], [], texts.to_pylist()
+            for i in range(0, len(texts), AT_ONCE):
+                part = texts[i : i + AT_ONCE]
+                keys = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in part]
+                if len(memory) >= MEMORY:
+                    memory.clear()
+                new = {key: text for key, text in zip(keys, part) if key not in memory}
+                memory.update(zip(new, model.score_of([Counter(terms_of(t)) for t in new.values()])))
+                for rate, near in map(memory.get, keys):
+                    scores.append(rate)
+                    evidence.append([{"doc_id": d, "cosine": c, "toxic": v} for d, c, v in near])
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
                 names=["doc_id", "score", "evidence"],

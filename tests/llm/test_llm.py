@@ -284,6 +284,37 @@ def test_nearest_examples_are_exact():
         assert [at for _, at in index.nearest(query, 7)] == [-i for _, i in brute]
 
 
+def test_toxicity_rows_match_brute_force_over_whole_texts(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(["w%d" % w for w in rng.zipf(1.3, 40) if w < 500] + ["scum"] * (i % 5 == 0))) for i in range(160)]
+    marks = {i: int(i % 5 == 0) for i in range(120)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, v) for i, v in marks.items()], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels, F.lit(True))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+
+    tfs = {i: Counter(t.split()) for i, t in rows}
+    n, n1 = len(marks), sum(marks.values())
+    weight = {}
+    for term in {t for i in marks for t in tfs[i]}:
+        a, b = (sum(term in tfs[i] for i in marks if marks[i] == v) for v in (1, 0))
+        odds = (a + b) * (n - a - b) * n1 * (n - n1)
+        chi = n * (a * (n - n1 - b) - b * (n1 - a)) ** 2 / odds if odds else 0
+        weight[term] = (1 + math.log((1 + len(rows)) / (1 + sum(term in tf for tf in tfs.values())))) * (1 + chi)
+
+    def unit(tf):
+        v = {t: (1 + math.log(m)) * weight[t] for t, m in tf.items() if t in weight}
+        return {t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()}
+
+    units, prior = {i: unit(tf) for i, tf in tfs.items()}, (n1 + 0.5) / (n + 1)
+    for i, v in units.items():
+        near = sorted((-round(sum(w * units[j].get(t, 0) for t, w in v.items()), 12), j) for j in marks)
+        near = [(-c, j) for c, j in near if c < 0][: toxicity.NEIGHBOURS]
+        score = (prior + sum(c * c * marks[j] for c, j in near)) / (1 + sum(c * c for c, _ in near))
+        assert got[i].score == pytest.approx(score) and got[i].predicted == (score >= 0.5)
+        assert [(e.doc_id, e.toxic) for e in got[i].evidence] == [(j, marks[j]) for _, j in near[:3]]
+
+
 @pytest.mark.parametrize("name, label", [("op1_quality_classifier", "quality"), ("op7_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
     sf = "/root/testdata/sf0.01"
