@@ -9,8 +9,9 @@ from barstream.llm.common import digest_of, text_of, words_of
 from barstream.session import staged
 
 SHINGLE = 5
-#: With 6 blocks, fingerprints within 11 bits agree in one block but for one bit.
-RADIUS = 11
+#: With 12 blocks, fingerprints within 23 bits agree in one block but for one bit.
+#: Edge-trimmed passages of a similarity of 0.8 were up to 20 bits from their item.
+RADIUS = 23
 
 
 def _let(value: Column, then) -> Column:

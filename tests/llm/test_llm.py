@@ -202,6 +202,22 @@ def test_leaks_match_brute_force(spark):
             assert (r.similarity, r.item_id) == (pytest.approx(best[0]), -best[1])
 
 
+def test_edge_trimmed_passages_are_found(spark):
+    rng = np.random.default_rng(3)
+    items = [[f"i{k}_{j}" for j in range(36 + k)] for k in range(4)]
+    passages = []
+    for i in range(120):
+        w, cut = items[i % 4], 3
+        other = [f"o{x}" for x in rng.integers(0, 10**6, cut)]
+        passages.append((i % 4, (w[:-cut] + other, other + w[cut:], other[:2] + w[2:-1] + other[2:])[i % 3]))
+    near = [i for i, (k, p) in enumerate(passages) if _alike(p, items[k]) >= 0.8]
+    docs = spark.createDataFrame([(i, " ".join(p)) for i, (_, p) in enumerate(passages)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.find_leaks(docs, bench).where("contaminated").collect()
+    assert len(near) > 60
+    assert {r.doc_id: r.item_id for r in rows} == {i: passages[i][0] for i in near}
+
+
 def test_snapshots_collapse(spark, monkeypatch):
     monkeypatch.setattr(chat, "PART", 3)
     said = [("user", f"t{i}") for i in range(8)]
