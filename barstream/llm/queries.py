@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barstream.llm import chat, decontaminate, exact_dedup, mixing, quality, sharding
-from barstream.llm import simhash_dedup, suffix_tree, toxicity, warc
+from barstream.llm import chat, decontaminate, exact_dedup, lexical_search, mixing, quality
+from barstream.llm import sharding, simhash_dedup, suffix_tree, token_counts, toxicity, warc
+from barstream.llm import whitening
 from barstream.llm.common import id_bucket, table
 
 
@@ -69,6 +70,23 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.fingerprint_components(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = token_counts.Tokenizer.read(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, benchmark)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_chat_format,
         op10_simhash_dedup,
+        op11_token_counts,
+        op12_lexical_search,
+        op13_whitening,
     )
 }
 
@@ -191,4 +212,43 @@ ORACLES: dict[str, str] = {
         FROM m JOIN p ON p.conv_id IS NOT DISTINCT FROM m.conv_id
         GROUP BY m.conv_id, part, m.turns, m.copies
     """,
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS place, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), l AS (
+            SELECT place, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0
+        ), g AS (
+            SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM l
+        ), b AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), i AS (
+            SELECT item_id, term, count(*)::BIGINT AS repeats FROM b GROUP BY item_id, term
+        ), h AS (
+            SELECT place, term, count(*)::BIGINT AS tf
+            FROM (SELECT place, unnest(terms) AS term FROM l)
+            WHERE term IN (SELECT term FROM i)
+            GROUP BY place, term
+        ), w AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+            FROM h, g GROUP BY term, docs
+        ), s AS (
+            SELECT i.item_id, l.place, l.doc_id,
+                   sum(i.repeats * w.w * ((1000000000 * h.tf)
+                       // (1000 * h.tf + 8 * (25 + (75 * l.n * g.docs) // g.tokens))))::BIGINT AS score
+            FROM i JOIN w USING (term) JOIN h USING (term) JOIN l USING (place), g
+            GROUP BY i.item_id, l.place, l.doc_id
+        ), r AS (
+            SELECT item_id, doc_id, score, row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, place)::INTEGER AS rank
+            FROM s WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+    """,
 }
