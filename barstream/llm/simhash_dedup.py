@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barstream.llm.common import digest_of, text_of
+from barstream.llm.common import NON_BLANKS, digest_of, text_of
 from barstream.llm.components import components
 from barstream.session import staged
 
@@ -194,9 +194,110 @@ def fingerprint_components(
     )
 
 
+#: Independently mixed fingerprints of a text; one within reach of another's is enough.
+FINGERPRINTS = 6
+#: Up to so many wanted digests go to every task that reads texts; beyond, texts are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """The hashes behind another 64-bit mixing, as if of another seed."""
+    h = hashes + np.uint64((0x9E3779B97F4A7C15 * (number + 1)) % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprints_of(text: Column, count: int) -> Column:
+    """SimHashes of the different words of a text, lower-cased in A-Z, as an array."""
+
+    @F.pandas_udf("array<long>")
+    def of(texts: pd.Series) -> pd.Series:
+        words = ((t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts)
+        hashes = (np.unique(_hashes(w, 1)) for w in words)
+        return pd.Series([[majority(_mixed(h, i)) for i in range(count)] for h in hashes])
+
+    return of(text)
+
+
+def _identity(text: Column) -> Column:
+    """The digest of a text; those without words share that of the empty text."""
+    text = text_of(text)
+    return digest_of(F.when(text.rlike(NON_BLANKS), text).otherwise(""))
+
+
+def bucket_members(nodes: DataFrame, count: int) -> DataFrame:
+    """``key, node, least``: who shares a bucket, with the smallest node of that bucket.
+
+    Each of the ``count`` fingerprints (``fps``) has two segments of 32 bits, each with
+    each of its bits in turn made a wildcard; a bucket is one such segment.  Two nodes
+    within 3 bits in some fingerprint share a bucket, as do others of which a whole
+    segment differs by one bit at most.  Nodes alone in a bucket are left out.
+    """
+    word = (1 << 32) - 1
+    pieces = []
+    for number in range(count):
+        for slot, (first, _) in enumerate(segments(3)):
+            segment = F.shiftrightunsigned(F.col("fps")[number], first).bitwiseAND(F.lit(word))
+            pieces.append(F.struct(F.lit((number * 2 + slot) * 32).cast("long").alias("at"), segment.alias("segment")))
+    masks = [F.struct(F.lit(b).alias("bit"), F.lit(word ^ (1 << b)).alias("mask")) for b in range(32)]
+    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("piece"))
+    rows = rows.select("node", "piece.*", F.explode(F.array(*masks)).alias("wild"))
+    key = F.shiftleft(F.col("at") + F.col("wild.bit"), 32).bitwiseOR(F.col("segment").bitwiseAND(F.col("wild.mask")))
+    rows = rows.select("node", key.alias("key"))
+    bucket = Window.partitionBy("key").orderBy("node")
+    upto = bucket.rowsBetween(Window.unboundedPreceding, 0)
+    held = rows.withColumn("least", F.first("node").over(upto)).withColumn("next", F.lead("node").over(bucket))
+    return held.where("least <> node OR next IS NOT NULL").drop("next")
+
+
+def _wanted_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``digest, text`` once for each digest of ``wanted``."""
+    once = F.first("text").alias("text")
+    if wanted.count() <= BROADCAST_ROWS:
+        return texts.join(F.broadcast(wanted), "digest", "left_semi").groupBy("digest").agg(once)
+    return texts.groupBy("digest").agg(once).join(wanted, "digest", "left_semi")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose shingle sets are at least so similar."""
+    size = F.size("set")
+    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+    sizes = sets.select("node", size.alias("n"))
+    near = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    near = near.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
+    sided = near.join(right, "b").join(left, "a")
+    both = F.size(F.array_intersect("sa", "sb"))
+    either = F.size("sa") + F.size("sb") - both
+    return sided.where((either == 0) | (both >= similarity * either)).select("a", "b")
+
+
+def _prefix_pairs(sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """All pairs ``a, b`` of different roots that can be so similar, among ``sets``.
+
+    With shingles in one order for all, the rare ones first, two such sets share one of
+    the first ``n - ceil(similarity n) + 1`` of each.  Shingles of one set only fill
+    places of that prefix but join nothing, so they are counted and not sorted.
+    """
+    shingles = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("s"))
+    shared = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = Window.partitionBy("node")
+    ranked = shingles.join(shared, "s").withColumn("rank", F.row_number().over(own.orderBy("df", "s")))
+    ranked = ranked.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
+    length = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
+    prefix = ranked.where(F.col("alone") + F.col("rank") <= length).select("s", "node", "n")
+    prefix = staged(prefix.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "prefixes")
+    alike = F.least("p.n", "q.n") >= similarity * F.greatest("p.n", "q.n")
+    joined = prefix.alias("p").join(
+        prefix.alias("q"), (F.col("p.s") == F.col("q.s")) & (F.col("p.root") < F.col("q.root")) & alike
+    )
+    return joined.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
-    radius: int = 3,
+    fingerprints: int = FINGERPRINTS,
     shingle: int = 5,
     similarity: float = 0.8,
     id_col: str = "doc_id",
@@ -204,42 +305,42 @@ def near_duplicates(
 ) -> DataFrame:
     """``digest, component_id``: the near-duplicate group of every different text.
 
-    Candidates come from fingerprints over the different words of a text: a few
-    replaced words move them by few bits, while they move a fingerprint of five-word
-    shingles (by 9 bits in the middle, at a similarity of 0.8) out of any radius that
-    can be searched.  Every candidate link is then
-    verified by the exact Jaccard similarity of the five-word shingles, at least
-    ``similarity``.  Texts without words are copies of each other.
+    Candidates come from SimHashes over the different words of a text: a few replaced
+    words move them by few bits, while they move a fingerprint of five-word shingles (by
+    9 bits in the middle, at a similarity of 0.8) out of any radius that can be
+    searched.  Texts are candidates where some segment of some fingerprint differs by
+    one bit at most, which takes in all that lie within 3 bits.  First every text is
+    held against the smallest of each of its buckets.  Texts of buckets that then hold
+    more than one component meet those that share a rare shingle with them, which
+    leaves out no pair that could pass.  Links are verified by the exact Jaccard
+    similarity of the five-word shingles, at least ``similarity``.  Texts without
+    words are copies of each other.  An empty table has no group.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.withColumn("digest", digest_of(text_of("text")))
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    texts = texts.withColumn("digest", _identity(F.col("text")))
     nodes = staged(
-        texts.select("digest", "doc_id", fingerprint_of(F.col("text"), 1, distinct=True).alias("fp"))
-        .groupBy(F.col("digest").alias("node"))
-        .agg(F.min("doc_id").alias("least_id"), F.min("fp").alias("fp")),
+        texts.select("digest", "doc_id", fingerprints_of(F.col("text"), fingerprints).alias("fps"))
+        .groupBy("digest")
+        .agg(F.min("doc_id").alias("least_id"), F.first("fps").alias("fps"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "text-nodes",
     )
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "candidates")
-        wanted = staged(
-            pairs.select(F.col("a").alias("digest"))
-            .unionByName(pairs.select(F.col("b").alias("digest")))
-            .distinct(),
-            "candidate-texts",
-        )
-        body = texts.join(wanted, "digest").groupBy("digest").agg(F.min("text").alias("text"))
-        sets = staged(
-            body.select("digest", shingles_of(F.col("text"), shingle).alias("set")), "shingle-sets"
-        )
-        sided = pairs.join(
-            sets.select(F.col("digest").alias("a"), F.col("set").alias("sa")), "a"
-        ).join(sets.select(F.col("digest").alias("b"), F.col("set").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        either = F.size("sa") + F.size("sb") - both
-        return sided.where((either == 0) | (both >= similarity * either)).select("a", "b")
-
-    return _lead(nodes, near_links(nodes, radius, verify)).withColumnRenamed("node", "digest")
+    tasks = max(1, -(-nodes.count() // NODES_PER_TASK))
+    members = staged(bucket_members(nodes.select("node", "fps").repartition(tasks, "node"), fingerprints), "bucket-members")
+    held = nodes.select("node", "digest").join(members.select("node").distinct(), "node", "left_semi")
+    held = staged(held, "candidate-texts")
+    body = _wanted_texts(texts.select("digest", "text"), held.select("digest"))
+    sets = body.select("digest", shingles_of(F.col("text"), shingle).alias("set")).join(held, "digest")
+    sets = staged(sets.select("node", "set"), "shingle-sets")
+    stars = members.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    links = staged(_verified(stars, sets, similarity), "star-links")
+    roots = staged(components(links), "star-roots")
+    known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    left = staged(known.join(open_, "key", "left_semi").select("node").distinct(), "open-texts")
+    across = staged(_prefix_pairs(sets.join(left, "node", "left_semi"), roots, similarity), "prefix-pairs")
+    links = links.unionByName(staged(_verified(across, sets, similarity), "cross-links"))
+    return _lead(nodes, links).join(nodes.select("node", "digest"), "node").select("digest", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
@@ -250,6 +351,6 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     groups = near_duplicates(docs, **how).select(
         F.col("digest").alias("__near_digest"), F.col("component_id").alias("__near_lead")
     )
-    joined = docs.join(groups, digest_of(text_of(docs["text"])) == F.col("__near_digest"))
+    joined = docs.join(groups, _identity(docs["text"]) == F.col("__near_digest"))
     kept = joined.where(docs["doc_id"].eqNullSafe(F.col("__near_lead")))
     return kept.select(*[docs[c] for c in docs.columns])
