@@ -227,12 +227,13 @@ def _identity(text: Column) -> Column:
 
 
 def bucket_members(nodes: DataFrame, count: int) -> DataFrame:
-    """``key, node, least``: who shares a bucket, with the smallest node of that bucket.
+    """``key, node, own, least``: who shares a bucket, with the smallest node of that bucket.
 
     Each of the ``count`` fingerprints (``fps``) has two segments of 32 bits, each with
     each of its bits in turn made a wildcard; a bucket is one such segment.  Two nodes
     within 3 bits in some fingerprint share a bucket, as do others of which a whole
-    segment differs by one bit at most.  Nodes alone in a bucket are left out.
+    segment differs by one bit at most.  ``own`` is the node's
+    value of the wildcard bit.  Nodes alone in a bucket are left out.
     """
     word = (1 << 32) - 1
     pieces = []
@@ -244,11 +245,15 @@ def bucket_members(nodes: DataFrame, count: int) -> DataFrame:
     rows = nodes.select("node", F.explode(F.array(*pieces)).alias("piece"))
     rows = rows.select("node", "piece.*", F.explode(F.array(*masks)).alias("wild"))
     key = F.shiftleft(F.col("at") + F.col("wild.bit"), 32).bitwiseOR(F.col("segment").bitwiseAND(F.col("wild.mask")))
-    rows = rows.select("node", key.alias("key"))
-    bucket = Window.partitionBy("key").orderBy("node")
+    own = F.when(F.col("segment").bitwiseAND(F.col("wild.mask")) == F.col("segment"), 0).otherwise(1)
+    rows = rows.select(key.alias("key"), (2 * F.col("node") + own).alias("tagged"))
+    bucket = Window.partitionBy("key").orderBy("tagged")
     upto = bucket.rowsBetween(Window.unboundedPreceding, 0)
-    held = rows.withColumn("least", F.first("node").over(upto)).withColumn("next", F.lead("node").over(bucket))
-    return held.where("least <> node OR next IS NOT NULL").drop("next")
+    held = rows.withColumn("first", F.first("tagged").over(upto)).withColumn("next", F.lead("tagged").over(bucket))
+    return held.where("first <> tagged OR next IS NOT NULL").select(
+        "key", F.shiftright("tagged", 1).alias("node"), (F.col("tagged") % 2).alias("own"),
+        F.shiftright("first", 1).alias("least"),
+    )
 
 
 def _wanted_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -273,12 +278,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return sided.where((either == 0) | (both >= similarity * either)).select("a", "b")
 
 
-def _prefix_pairs(sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """All pairs ``a, b`` of different roots that can be so similar, among ``sets``.
+def _open_members(members: DataFrame, links: DataFrame, purpose: str) -> DataFrame:
+    """The members, with their ``root`` by ``links``, of buckets that hold several roots."""
+    roots = staged(components(links), f"{purpose}-roots")
+    rooted = members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return staged(rooted.join(open_.select("key"), "key", "left_semi"), f"{purpose}-open")
 
-    With shingles in one order for all, the rare ones first, two such sets share one of
-    the first ``n - ceil(similarity n) + 1`` of each.  Shingles of one set only fill
-    places of that prefix but join nothing, so they are counted and not sorted.
+
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """``node, prefix``: a set's shared shingles among its first ``n - ceil(similarity n) + 1``.
+
+    With shingles in one order for all, the rare ones first, two sets that are so similar
+    share one of these, and texts with words of their own share none.  Shingles of
+    one set only take up places but meet nothing, so they are counted and not sorted.
+    Each is shortened to 16 bits, which only lets more pairs through.
     """
     shingles = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("s"))
     shared = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -286,12 +300,25 @@ def _prefix_pairs(sets: DataFrame, roots: DataFrame, similarity: float) -> DataF
     ranked = shingles.join(shared, "s").withColumn("rank", F.row_number().over(own.orderBy("df", "s")))
     ranked = ranked.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
     length = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
-    prefix = ranked.where(F.col("alone") + F.col("rank") <= length).select("s", "node", "n")
-    prefix = staged(prefix.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "prefixes")
-    alike = F.least("p.n", "q.n") >= similarity * F.greatest("p.n", "q.n")
-    joined = prefix.alias("p").join(
-        prefix.alias("q"), (F.col("p.s") == F.col("q.s")) & (F.col("p.root") < F.col("q.root")) & alike
-    )
+    short = (F.col("s").bitwiseAND(F.lit(65_535)) - 32_768).cast("short")
+    held = ranked.where(F.col("alone") + F.col("rank") <= length)
+    return held.groupBy("node").agg(F.collect_set(short).alias("prefix"))
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of different roots that share a bucket and a shingle of their ``prefix``.
+
+    Two nodes with one segment share its 32 buckets, of which the first counts; two
+    that differ by one bit share the bucket of that bit only.  So a pair comes at most
+    once a segment.
+    """
+    first = F.shiftright(F.col("p.key"), 32) % 32 == 0
+    joined = members.alias("p").join(
+        members.alias("q"),
+        (F.col("p.key") == F.col("q.key")) & (F.col("p.root") < F.col("q.root"))
+        & ((F.col("p.own") != F.col("q.own")) | first)
+        & F.arrays_overlap("p.prefix", "q.prefix"),
+    )
     return joined.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
 
@@ -310,9 +337,11 @@ def near_duplicates(
     9 bits in the middle, at a similarity of 0.8) out of any radius that can be
     searched.  Texts are candidates where some segment of some fingerprint differs by
     one bit at most, which takes in all that lie within 3 bits.  First every text is
-    held against the smallest of each of its buckets.  Texts of buckets that then hold
-    more than one component meet those that share a rare shingle with them, which
-    leaves out no pair that could pass.  Links are verified by the exact Jaccard
+    held against the smallest it shares a bucket with, then against the smallest of
+    each bucket that still holds several components, and in the end the members of
+    such buckets against those of other components, where the rarest shingles
+    of their sets meet; so no candidate pair is left out but those that are connected already or
+    cannot pass.  Links are verified by the exact Jaccard
     similarity of the five-word shingles, at least ``similarity``.  Texts without
     words are copies of each other.  An empty table has no group.
     """
@@ -332,13 +361,16 @@ def near_duplicates(
     body = _wanted_texts(texts.select("digest", "text"), held.select("digest"))
     sets = body.select("digest", shingles_of(F.col("text"), shingle).alias("set")).join(held, "digest")
     sets = staged(sets.select("node", "set"), "shingle-sets")
-    stars = members.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).where("a <> b")
     links = staged(_verified(stars, sets, similarity), "star-links")
-    roots = staged(components(links), "star-roots")
-    known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = staged(known.join(open_, "key", "left_semi").select("node").distinct(), "open-texts")
-    across = staged(_prefix_pairs(sets.join(left, "node", "left_semi"), roots, similarity), "prefix-pairs")
+    left = _open_members(members, links, "star")
+    leaders = left.where("node = least").select("key", F.col("root").alias("led"))
+    stars = left.join(leaders, "key").where("root <> led").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    links = links.unionByName(staged(_verified(stars.distinct(), sets, similarity), "bucket-links"))
+    left = _open_members(left, links, "bucket")
+    some = sets.join(left.select("node").distinct(), "node", "left_semi")
+    prefixes = staged(_prefixes(some, similarity), "prefixes")
+    across = staged(_across(left.join(prefixes, "node")), "cross-pairs")
     links = links.unionByName(staged(_verified(across, sets, similarity), "cross-links"))
     return _lead(nodes, links).join(nodes.select("node", "digest"), "node").select("digest", "component_id")
 

@@ -94,14 +94,28 @@ def test_pairs_that_fail_do_not_multiply_and_hide_none(spark):
     assert [got[i] for i in range(24)] == [i - i % 2 for i in range(24)]
 
 
-def test_prefix_pairs_hold_every_similar_pair(spark, texts):
-    sets = [np.array(sorted({hash(s) for s in shingles(t)}), np.int64) for t in texts[-150:]]
+def test_buckets_give_each_near_pair_at_most_once_a_segment(spark):
+    rng = np.random.default_rng(4)
+    base = int(rng.integers(0, 1 << 62))
+    prints = [base, base, base ^ 1, base ^ (1 << 40) ^ (1 << 50), base ^ (1 << 3) ^ (1 << 9) ^ (1 << 33) ^ (1 << 60), 5]
+    nodes = spark.createDataFrame([(i, [f]) for i, f in enumerate(prints)], "node long, fps array<long>")
+    members = simhash_dedup.bucket_members(nodes, 1).withColumn("root", F.col("node"))
+    members = members.withColumn("prefix", F.array(F.lit(1).cast("short")))
+    near = lambda x, y: min(((x ^ y) & 0xFFFFFFFF).bit_count(), ((x ^ y) >> 32).bit_count()) <= 1
+    true = {(a, b) for a, b in combinations(range(6), 2) if near(prints[a], prints[b])}
+    assert {tuple(r) for r in simhash_dedup._across(members).collect()} == true and (0, 4) not in true
+    assert all(r.least == 0 for r in members.collect())
+
+
+def test_prefixes_of_similar_sets_meet(spark, texts):
+    sets = [np.unique([hash(s) for s in shingles(t)]).astype(np.int64) for t in texts[-150:]]
     frame = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "node long, set array<long>")
-    roots_ = spark.createDataFrame([], "node long, root long")
-    found = {tuple(r) for r in simhash_dedup._prefix_pairs(frame, roots_, 0.8).collect()}
+    prefix = {r.node: set(r.prefix) for r in simhash_dedup._prefixes(frame, 0.8).collect()}
     held = [frozenset(s.tolist()) for s in sets]
-    true = {(a, b) for a, b in combinations(range(len(held)), 2) if held[a] and similarity(held[a], held[b]) >= 0.8}
-    assert true and true <= found and len(found) < 3 * len(true)
+    true = [(a, b) for a, b in combinations(range(len(held)), 2) if held[a] and similarity(held[a], held[b]) >= 0.8]
+    assert len(true) > 50 and all(prefix[a] & prefix[b] for a, b in true)
+    met = sum(bool(prefix.get(a, set()) & prefix.get(b, set())) for a, b in combinations(range(len(held)), 2))
+    assert met < 3 * len(true)
 
 
 def test_large_wanted_sets_go_by_shuffle(spark, texts, monkeypatch):
