@@ -29,7 +29,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         QUERIES[name] = function
         if sql is not None:
-            ORACLES[name] = f"WITH {BARS_SQL} {sql}" if re.search(r"FROM\s+bars\b", sql) else sql
+            needs = re.search(r"FROM\s+bars\b", sql) and not sql.startswith("WITH")
+            ORACLES[name] = f"WITH {BARS_SQL} {sql}" if needs else sql
         return function
 
     return register

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wire import as_ticks
@@ -14,6 +15,17 @@ from .starting import stream_writer
 RAW_INTERVAL = "1 minute"
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value) -> Iterator[None]:
+    """A session setting while a write runs."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_raw(
     messages: DataFrame,
     path: str | None = None,
@@ -39,7 +51,7 @@ def write_raw(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table_format == "iceberg":
-        writer = writer.option("fanout-enabled", "true").option("create-table-if-not-exists", "true")
+        writer = writer.option("fanout-enabled", "true")
     return writer.option("path", path).start() if path is not None else writer.toTable(table)
 
 
@@ -70,6 +82,37 @@ def load_ticks(
     return None
 
 
+def write_fanned_out(df: DataFrame, path: str, partition_by: Sequence[str], writers: int = 100) -> None:
+    """Append to a partitioned Parquet dataset without sorting the rows by partition.
+
+    A task keeps up to ``writers`` files open, one a partition value.  Where it meets
+    more, Spark sorts what is left of its rows, so memory stays bounded and nothing
+    is lost.  For input whose tasks hold few partitions each; otherwise a sort is cheaper
+    than many open files.
+    """
+    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
+        df.write.partitionBy(*partition_by).mode("append").parquet(path)
+
+
+def insert_partitions(df: DataFrame, table: str, partition_by: Sequence[str], location: str | None = None) -> DataFrame:
+    """Put rows into a partitioned catalog table, replacing the partitions they belong to.
+
+    Partitions without new rows stay as they are.  The table is created where there is
+    none, in the warehouse or at ``location``.  Columns go by name, so their order is
+    free; a column the table lacks is an error.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return ctas(df, table, partition_by=partition_by, location=location)
+    names = spark.table(table).columns
+    if sorted(names) != sorted(df.columns):
+        raise ValueError(f"columns {sorted(df.columns)} are not those of {table}: {sorted(names)}")
+    # The writer's own option does not reach an insert into a catalog table.
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*names).write.insertInto(table, overwrite=True)
+    return spark.table(table)
+
+
 def ctas(
     df: DataFrame,
     table: str,

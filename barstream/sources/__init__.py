@@ -1,8 +1,8 @@
 """Readers; every one has an explicit schema, so none infers."""
 
-from .history import read_assets, read_history, read_pages, read_symbols
+from .history import read_assets, read_history, read_pages, read_symbols, split_history
 from .messages import read_messages, read_messages_stream
-from .ticks import latest_ticks, read_ticks
+from .ticks import latest_ticks, read_ticks, read_ticks_stream
 
 __all__ = [
     "latest_ticks",
@@ -13,4 +13,6 @@ __all__ = [
     "read_pages",
     "read_symbols",
     "read_ticks",
+    "read_ticks_stream",
+    "split_history",
 ]

@@ -15,6 +15,14 @@ def read_ticks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{_ddl()}, trade_date date").parquet(path)
 
 
+def read_ticks_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stored bars as a stream of files, the oldest files first."""
+    reader = spark.readStream.schema(_ddl())
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
 def latest_ticks(spark: SparkSession, path: str, n: int = LATEST_ROWS) -> DataFrame:
     """The ``n`` latest bars of a tick table.
 

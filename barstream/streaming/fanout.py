@@ -12,7 +12,7 @@ from ..operators.wire import to_wire
 from ..schema import TIME_FIELD
 from ..sinks import write_console, write_messages, write_raw
 from ..sinks.lake import RAW_INTERVAL
-from ..sinks.starting import AVAILABLE_NOW
+from ..sinks.starting import AVAILABLE_NOW, stream_writer
 
 # The output modes and the sinks each one feeds.
 OUTPUT_MODES = {
@@ -43,6 +43,7 @@ def start_pipeline(
     *,
     mode: str = "permissive",
     time_field: str = TIME_FIELD,
+    keep_nulls: bool = False,
     trigger: str | None = None,
     raw_trigger: str | None = RAW_INTERVAL,
 ) -> list[StreamingQuery]:
@@ -54,7 +55,7 @@ def start_pipeline(
     if outputs not in OUTPUT_MODES:
         raise ValueError(f"output mode must be one of {sorted(OUTPUT_MODES)}, not {outputs!r}")
     sinks = OUTPUT_MODES[outputs]
-    flat = to_wire(flatten_messages(source, mode, typed_time=False), time_field)
+    flat = to_wire(flatten_messages(source, mode, typed_time=False), time_field, keep_nulls)
     queries = []
     if "messages" in sinks:
         queries.append(
@@ -83,6 +84,36 @@ def start_pipeline(
     return queries
 
 
+def start_once(
+    source: DataFrame,
+    targets: Outputs,
+    *,
+    mode: str = "permissive",
+    time_field: str = TIME_FIELD,
+    keep_nulls: bool = False,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Both sinks of the job from one read of the source, as one query.
+
+    A micro-batch is read once and stored as the raw table's part
+    (``batch_id=N``); the message sink's part is made from that.  Both overwrite what
+    an earlier attempt at the batch has left, so each batch counts once in either
+    sink.  The two ``start_pipeline`` queries read and parse the source each, but
+    can run at paces of their own.  Takes paths, not topics or tables.
+    """
+    if targets.raw_path is None or targets.messages_path is None:
+        raise ValueError("give raw_path and messages_path")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        raw = f"{targets.raw_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(raw)
+        kept = batch.sparkSession.read.schema(batch.schema).parquet(raw)
+        flat = to_wire(flatten_messages(kept, mode, typed_time=False), time_field, keep_nulls)
+        flat.write.mode("overwrite").parquet(f"{targets.messages_path}/batch_id={batch_id}")
+
+    return stream_writer(source, targets.checkpoint, trigger).foreachBatch(store).start()
+
+
 def await_queries(
     spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None
 ) -> bool:
