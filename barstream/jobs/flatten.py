@@ -16,7 +16,7 @@ from ..schema import TIME_FIELD
 from ..session import session
 from ..sinks.lake import RAW_INTERVAL
 from ..sources.messages import OFFSETS, read_messages_stream
-from ..streaming.fanout import OUTPUT_MODES, Outputs, run_pipeline
+from ..streaming.fanout import OUTPUT_MODES, Outputs, run_pipeline, start_once
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -26,6 +26,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--source-topic")
     source.add_argument("--source-path", help="directory of message files instead of a topic")
     source.add_argument("--starting-offsets", choices=OFFSETS, default="latest")
+    source.add_argument("--max-offsets-per-trigger", type=int, help="messages of a topic in one micro-batch")
+    source.add_argument("--max-files-per-trigger", type=int, help="files of a directory in one micro-batch")
     sink = parser.add_argument_group("sinks")
     sink.add_argument("--output-mode", choices=sorted(OUTPUT_MODES), default="both")
     sink.add_argument("--dest-topic")
@@ -37,6 +39,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     job = parser.add_argument_group("job")
     job.add_argument("--parse-mode", choices=MODES, default=MODES[0])
     job.add_argument("--time-field", default=TIME_FIELD, help="name of the time in flat messages")
+    job.add_argument("--keep-nulls", action="store_true", help="write absent fields as null")
+    job.add_argument("--single-read", action="store_true", help="feed both directories from one query")
     job.add_argument("--trigger", help="interval of the message sink; default as fast as possible")
     job.add_argument("--processing-time", default=RAW_INTERVAL, help="interval of the raw sink")
     job.add_argument("--app-name", default="bar-flattener")
@@ -53,6 +57,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
             parser.error("give either --raw-path or --raw-table")
         if args.raw_table and "." not in args.raw_table:
             parser.error(f"--raw-table must be database.table, not {args.raw_table!r}")
+    if args.single_read and not (args.output_mode == "both" and args.dest_path and args.raw_path):
+        parser.error("--single-read takes output mode both, --dest-path and --raw-path")
     return args
 
 
@@ -66,6 +72,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         brokers=args.brokers,
         topic=args.source_topic,
         starting_offsets=args.starting_offsets,
+        files_per_trigger=args.max_files_per_trigger,
+        offsets_per_trigger=args.max_offsets_per_trigger,
     )
     targets = Outputs(
         checkpoint=args.checkpoint,
@@ -76,7 +84,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         raw_table=args.raw_table,
         raw_format=args.raw_format,
     )
-    settings = {"mode": args.parse_mode, "time_field": args.time_field, "trigger": args.trigger}
+    settings = {
+        "mode": args.parse_mode,
+        "time_field": args.time_field,
+        "keep_nulls": args.keep_nulls,
+        "trigger": args.trigger,
+    }
+    if args.single_read:
+        start_once(source, targets, **settings).awaitTermination()
+        return
     run_pipeline(source, args.output_mode, targets, raw_trigger=args.processing_time, **settings)
 
 

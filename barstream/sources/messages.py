@@ -49,10 +49,13 @@ def read_messages_stream(
     topic: str | None = None,
     starting_offsets: str = "latest",
     files_per_trigger: int | None = None,
+    offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """The stream of messages of a topic, or of the files added to a directory.
 
-    A directory is always read from its first file.
+    A directory is always read from its first file.  A backlog is taken in
+    micro-batches of at most ``files_per_trigger`` files, or ``offsets_per_trigger``
+    messages of a topic; without a limit all of it is one.
     """
     if path is not None:
         reader = spark.readStream.schema(MESSAGE)
@@ -62,4 +65,6 @@ def read_messages_stream(
     if not (brokers and topic):
         raise ValueError("give path, or brokers and topic")
     options = kafka_options(brokers, topic, starting_offsets)
+    if offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(offsets_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()

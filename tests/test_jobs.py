@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from barstream.jobs import compact, flatten, report, tail
+from barstream.jobs import compact, flatten, load, report, retain, tail
 from barstream.operators.wire import as_ticks
 from barstream.plans import tables
 from barstream.sinks.starting import AVAILABLE_NOW
@@ -59,3 +59,44 @@ def test_tail_job(spark, sf_dir, tmp_path):
     tail.main(["--path", source, "--trigger", AVAILABLE_NOW])
     with pytest.raises(SystemExit):
         tail.arguments(["--topic", "t"])
+
+
+def test_flatten_job_by_files_from_one_read(spark, sf_dir, tmp_path):
+    source, out, raw = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "raw")
+    tables.messages(spark, sf_dir).repartition(3).write.parquet(source)
+    flatten.main(
+        ["--source-path", source, "--dest-path", out, "--raw-path", raw, "--single-read", "--keep-nulls",
+         "--max-files-per-trigger", "1", "--checkpoint", str(tmp_path / "c"), "--trigger", AVAILABLE_NOW]
+    )
+    assert sorted(p.name for p in (tmp_path / "raw").iterdir()) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert spark.read.parquet(out).count() == tables.bars(spark, sf_dir).count()
+    with pytest.raises(SystemExit):
+        flatten.arguments([*TOPICS, "--dest-topic", "out", "--raw-table", "lake.raw", "--single-read"])
+
+
+def test_a_topic_is_read_within_limits():
+    args = flatten.arguments([*TOPICS, "--dest-topic", "o", "--raw-table", "a.b", "--max-offsets-per-trigger", "5000"])
+    assert args.max_offsets_per_trigger == 5000
+
+
+def test_load_and_retain_jobs(spark, sf_dir, tmp_path, capsys):
+    lines, path, kept = tmp_path / "lines.json", str(tmp_path / "ticks"), str(tmp_path / "kept")
+    lines.write_text(
+        "\n".join(
+            ['{"T":"b","symbol":"a","o":1.0,"t":"2024-01-0%dT00:00:00Z"}' % d for d in range(1, 5)] + ["{broken", ""]
+        )
+    )
+    load.main(["--history", str(lines), "--path", path, "--fill-defaults"])
+    assert "not json" in capsys.readouterr().out
+    rows = spark.read.parquet(path)
+    assert rows.count() == 4 and rows.where("volume = 0").count() == 4
+    stored = str(tmp_path / "messages")
+    tables.messages(spark, sf_dir).write.parquet(stored)
+    load.main(["--messages", stored, "--path", str(tmp_path / "more")])
+    assert spark.read.parquet(str(tmp_path / "more")).count() == tables.bars(spark, sf_dir).count()
+    retain.main(["--path", path, "--since", "2024-01-03", "--dest", kept])
+    assert spark.read.parquet(kept).count() == 2
+    retain.main(["--path", path, "--days", "1"])
+    assert "partitions_dropped" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        retain.arguments(["--path", path])
