@@ -24,13 +24,50 @@ def _words(text: str | Column) -> Column:
 
 
 def _shingle_hashes(words: Column) -> Column:
-    """Hash of each five-word shingle in order; of the whole text if it is shorter."""
+    """Hash of each five-word shingle in order; of the whole text if it is shorter.
+
+    Words are hashed once; a shingle's hash is that of its word hashes (nulls past the
+    end of a short text do not enter it).
+    """
+
+    def of(hashes):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - SHINGLE, F.lit(0)))
+        return F.transform(starts, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(SHINGLE))))
+
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
-    def of(w):
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(w, i, SHINGLE))))
 
-    return _let(words, of)
+def _shingles(words: Column) -> Column:
+    """The number of shingles of so many words."""
+    return F.greatest(words - (SHINGLE - 1), F.lit(1))
+
+
+def _least_hits(similarity: float) -> Column:
+    """The shingles that a window and an item of ``length`` words share at least."""
+    both = _shingles(F.least("n", "length")) + _shingles(F.col("length"))
+    least = F.ceil(both * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)).cast("int")
+    return F.greatest(least, F.lit(1))
+
+
+def _window_starts(similarity: float) -> Column:
+    """Starts of the windows of ``length`` words that may reach the similarity.
+
+    ``hits`` are the sorted positions, in a text of ``n`` words, of shingles that occur
+    in items of that length.  Moving any window right to its next hit, or to the end of
+    the text, loses nothing it shares with an item, so it can start at a hit, or is the
+    last one.  It shares at most as many shingles as it holds hits.
+    """
+    have = _shingles(F.least("n", "length"))
+    last = F.greatest(F.col("n") - F.col("length"), F.lit(0))
+
+    def of(need):
+        first = F.sequence(F.lit(0), F.greatest(F.size("hits") - need, F.lit(0)))
+        enough = F.filter(
+            first, lambda k: F.get("hits", k + need - 1) < F.get("hits", k) + have
+        )
+        return F.array_distinct(F.transform(enough, lambda k: F.least(F.get("hits", k), last)))
+
+    return _let(_least_hits(similarity), of)
 
 
 def _blocks() -> list[tuple[int, int]]:
@@ -78,17 +115,18 @@ def leaked_texts(
 ) -> DataFrame:
     """``digest, item_id, similarity, leaks``: texts that hold a benchmark passage.
 
-    A window of an item's length that is similar to the item at all shares a shingle
-    with it, so windows are laid where a shingle of the text occurs in the benchmark,
-    aligned on the item that has it.  Each window gets a SimHash of its words.  Items
-    are indexed by blocks of theirs with every one-bit change, windows look up their
-    blocks, which finds every item within ``RADIUS`` bits, and the weighted Jaccard
-    similarity of the five-word shingles, weighted by occurrences, decides.
+    All windows of a text of the length of some item count, the whole text where it is
+    shorter.  Those that could reach ``similarity`` are told by the shingles they share
+    with items of their length (``_window_starts``).  Each gets a SimHash of its words.  Items
+    are indexed by length and blocks of their SimHash with every one-bit change, windows
+    look up their blocks, which finds every item within ``RADIUS`` bits, and the weighted
+    Jaccard similarity of the five-word shingles, weighted by occurrences, decides.
 
     Words are lower-cased and separated by blanks.  Items without words match nothing,
     items of fewer than five words only texts of just these words.  Items of the same
     words are one item under their smallest id.  Copies of a text are one text here,
-    so a passage or text however frequent is examined once.
+    so a passage or text however frequent is examined once.  Without documents or items
+    there are no rows; other columns of both tables are not looked at.
     """
     items = benchmark.select("item_id", _words("text").alias("words")).where(F.size("words") > 0)
     items = staged(
@@ -102,30 +140,30 @@ def leaked_texts(
         ),
         "leak-items",
     )
-    item_shingles = staged(
-        items.select("item", "length", F.posexplode(_shingle_hashes(F.col("words")))).toDF(
-            "item", "length", "at", "shingle"
-        ),
-        "leak-item-shingles",
+    sought = staged(
+        items.select("length", F.explode(_shingle_hashes(F.col("words"))).alias("shingle")).distinct(),
+        "leak-shingles",
     )
-    sought = item_shingles.select("length", "at", "shingle").distinct()
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     texts = texts.select(digest_of(F.col("text")).alias("digest"), "text")
-    shingled = texts.select("digest", F.posexplode(_shingle_hashes(_words("text"))))
+    hashed = texts.select("digest", _shingle_hashes(_words("text")).alias("shingles"))
+    shingled = hashed.select("digest", F.posexplode("shingles"))
     hits = shingled.toDF("digest", "pos", "shingle").join(sought, "shingle")
-    windows = staged(
-        hits.select("digest", "length", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"))
-        .distinct(),
-        "leak-windows",
+    # One row a text and length: no longer than the text itself, and copies add nothing.
+    hits = staged(
+        hits.groupBy("digest", "length").agg(F.sort_array(F.collect_set("pos")).alias("hits")),
+        "leak-hits",
     )
-    suspects = staged(windows.select("digest").distinct(), "leak-suspects")
+    suspects = staged(hits.select("digest").distinct(), "leak-suspects")
     bodies = texts.join(suspects, "digest").groupBy("digest").agg(F.min("text").alias("text"))
     bodies = staged(bodies.select("digest", _words("text").alias("words")), "leak-bodies")
-    start = F.greatest(F.least("start", F.size("words") - F.col("length")), F.lit(0))
+    sized = hits.join(bodies.select("digest", F.size("words").alias("n")), "digest")
+    starts = sized.where(F.size("hits") >= _least_hits(similarity)).select(
+        "digest", "length", F.explode(_window_starts(similarity)).alias("start")
+    )
     cut = staged(
-        windows.join(bodies, "digest")
-        .select("digest", "length", start.alias("start"), "words")
-        .distinct()
+        staged(starts, "leak-starts")
+        .join(bodies, "digest")
         .select(
             "digest",
             "length",
@@ -136,12 +174,12 @@ def leaked_texts(
     )
     window = ["digest", "length", "start"]
     window_fps = _simhash(cut.select(*window, F.explode("words").alias("word")), *window)
-    item_fps = _simhash(items.select("item", F.explode("words").alias("word")), "item")
-    index = _block_rows(item_fps, "item", variants=True).withColumnRenamed("fp", "item_fp")
+    item_fps = _simhash(items.select("item", "length", F.explode("words").alias("word")), "item", "length")
+    index = _block_rows(item_fps, "item", "length", variants=True).withColumnRenamed("fp", "item_fp")
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS
     pairs = staged(
         _block_rows(window_fps, *window, variants=False)
-        .join(staged(index, "leak-index"), ["block", "bits"])
+        .join(staged(index, "leak-index"), ["length", "block", "bits"])
         .where(close)
         .select(*window, "item")
         .distinct(),
@@ -155,9 +193,8 @@ def leaked_texts(
         .groupBy(*window, "item")
         .agg(F.sum(F.least("n", "m")).alias("common"))
     )
-    shingles = lambda n: F.greatest(n - (SHINGLE - 1), F.lit(1))
-    sizes = cut.select(*window, shingles(F.size("words")).alias("have"))
-    wanted = items.select("item", "item_id", shingles(F.col("length")).alias("want"))
+    sizes = cut.select(*window, _shingles(F.size("words")).alias("have"))
+    wanted = items.select("item", "item_id", _shingles(F.col("length")).alias("want"))
     rated = shared.join(sizes, window).join(wanted, "item")
     alike = F.col("common") / (F.col("have") + F.col("want") - F.col("common"))
     found = rated.withColumn("similarity", alike).where(F.col("similarity") >= similarity)

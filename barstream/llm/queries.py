@@ -186,6 +186,49 @@ ORACLES: dict[str, str] = {
                CASE WHEN leader > page_id THEN leader END AS refers_to
         FROM n
     """,
+    # Every window that shares a shingle with the item it is held against; others have none in common.
+    "op8_decontamination": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingled AS (
+            SELECT doc_id, len(w) AS n, unnest(range(greatest(len(w) - 4, 1)::BIGINT)) AS pos, w FROM words WHERE len(w) > 0
+        ), shingles AS (
+            SELECT doc_id, n, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS shingle FROM shingled
+        ), items AS (
+            SELECT min(item_id) AS item_id, w, len(w) AS length FROM (
+                SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
+                FROM benchmark)
+            WHERE len(w) > 0 GROUP BY w
+        ), item_shingles AS (
+            SELECT item_id, length, array_to_string(w[pos + 1 : pos + 5], ' ') AS shingle, count(*) AS m
+            FROM (SELECT *, unnest(range(greatest(length - 4, 1)::BIGINT)) AS pos FROM items) GROUP BY ALL
+        ), hits AS (
+            SELECT doc_id, n, pos, shingle, item_id, length, m FROM shingles JOIN item_shingles USING (shingle)
+        ), starts AS (
+            SELECT DISTINCT doc_id, item_id, start FROM (
+                SELECT doc_id, item_id, n, length, unnest(range(greatest(0, pos - length + 5)::BIGINT, pos + 1)) AS start FROM hits)
+            WHERE start <= greatest(n - length, 0)
+        ), shared AS (
+            SELECT doc_id, item_id, start, shingle, n, length, least(count(*), any_value(m)) AS common
+            FROM starts JOIN hits USING (doc_id, item_id)
+            WHERE pos BETWEEN start AND start + greatest(least(n, length) - 4, 1) - 1
+            GROUP BY ALL
+        ), windows AS (
+            SELECT doc_id, item_id, sum(common)::BIGINT AS common,
+                greatest(least(any_value(n), any_value(length)) - 4, 1) + greatest(any_value(length) - 4, 1) AS both_sizes
+            FROM shared GROUP BY doc_id, item_id, start
+        ), found AS (
+            SELECT doc_id, item_id, max(common / (both_sizes - common)) AS similarity
+            FROM windows WHERE common / (both_sizes - common) >= 0.8::DOUBLE GROUP BY ALL
+        ), leaks AS (
+            SELECT doc_id, first(item_id ORDER BY similarity DESC, item_id) AS item_id, max(similarity) AS similarity,
+                count(*) AS leaks
+            FROM found GROUP BY doc_id
+        )
+        SELECT d.doc_id, leaks IS NOT NULL AS contaminated, item_id, similarity, coalesce(leaks, 0) AS leaks
+        FROM documents d LEFT JOIN leaks l ON d.doc_id = l.doc_id
+    """,
     "op9_chat_format": r"""
         WITH t AS (
             SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text

@@ -187,7 +187,11 @@ def test_leaks_match_brute_force(spark):
     items.append(["of", "the"] * 12)
     filler = [f"f{i}" for i in range(40)]
     texts = [filler + items[0] + filler, items[1], filler + items[2][:-1] + ["z"] + filler,
-             filler + items[3][: len(items[3]) // 2] + filler, filler, [], items[4][2:], items[5] * 4]
+             filler + items[3][: len(items[3]) // 2] + filler, filler, [], items[4][2:], items[5] * 4,
+             filler + items[4][20:] + items[4][:20] + filler, filler + items[3][9:] + items[3][:9] + filler,
+             filler + items[4][:22] + ["x", "y"] + items[4][22:] + filler, items[3][18:] + items[3][:18],
+             filler + items[2][12:] + filler + items[2][:12], filler + items[4][1:], items[2][1:] + items[4] + items[2]]
+    texts += [texts[8], texts[8]]
     docs = spark.createDataFrame([(i, "  ".join(t).upper()) for i, t in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
     rows = decontaminate.find_leaks(docs, bench).orderBy("doc_id").collect()
