@@ -238,7 +238,7 @@ def _sum_up(parts: DataFrame, tables: list[DataFrame], levels: list[Level], base
         ctx, hashes, n = join("ctx", np.int32).astype(np.int64), join("hashes", np.uint64), join("n", np.int32)
         keys, first, inverse = np.unique(_key(ctx, hashes), return_index=True, return_inverse=True)
         total = np.bincount(inverse, weights=n, minlength=len(keys)).astype(np.int64)
-        answers, cut = total[inverse].astype(np.int32), 0
+        answers, cut = total[inverse], 0
         bucket, out = rows[0]["bucket"], []
         for r in rows:
             size = len(r["ctx"]) // 4
@@ -410,7 +410,7 @@ def _apply(blocks: DataFrame, results: list[DataFrame], levels: list[Level], bas
                 bucket = _buckets(hashes, buckets)
                 order = np.argsort(bucket, kind="stable")
                 n = np.empty(len(order), np.int64)
-                pieces = [np.frombuffer(told[length, int(b)], np.int32) for b in np.unique(bucket)]
+                pieces = [np.frombuffer(told[length, int(b)], np.int64) for b in np.unique(bucket)]
                 n[order] = np.concatenate(pieces) if pieces else 0
                 n = n[inverse]
                 if length == 0:

@@ -222,6 +222,21 @@ def test_edge_trimmed_passages_are_found(spark):
     assert {r.doc_id: r.item_id for r in rows} == {i: passages[i][0] for i in near}
 
 
+def test_counts_of_grams_may_pass_two_to_the_31(spark):
+    most = 2**31 - 1
+    rows = [
+        (0, block, np.array([0, 0], np.int32).tobytes(), np.array([7, 9], np.uint64).tobytes(),
+         np.array([most, i], np.int32).tobytes())
+        for i, block in enumerate(["a", "b", "c"])
+    ]
+    parts = spark.createDataFrame([(b, k, bytearray(c), bytearray(h), bytearray(n)) for b, k, c, h, n in rows], suffix_tree.PARTS)
+    summed = suffix_tree._sum_up(parts, [], [], None)
+    answers = summed.where("kind = 'answer'").collect()
+    assert sorted(r.block for r in answers) == ["a", "b", "c"]
+    assert all(np.frombuffer(r.n, np.int64).tolist() == [3 * most, 3] for r in answers)
+    assert suffix_tree._context_sums(summed)[0][0] == 3 * most + 3
+
+
 def test_snapshots_collapse(spark, monkeypatch):
     monkeypatch.setattr(chat, "PART", 3)
     said = [("user", f"t{i}") for i in range(8)]
