@@ -247,15 +247,17 @@ def ctas(spark, sf_dir):
 
 
 def _stored_texts(spark: SparkSession, sf_dir: str) -> str:
-    """The document texts as plain text, one file per source."""
+    """The document texts as plain text, eight files per source."""
     path = scratch(spark, "texts")
-    texts = tables.table(spark, sf_dir, "documents").select("source", "text")
-    texts.repartition("source").write.partitionBy("source").text(path)
+    part = (F.col("doc_id") % 8).alias("part")
+    texts = tables.table(spark, sf_dir, "documents").select("source", part, "text")
+    texts.repartition("source", "part").write.partitionBy("source", "part").text(path)
     return path
 
 
-_TEXT_FILES = """SELECT source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS file_size_in_bytes
-                 FROM documents GROUP BY source"""
+_TEXT_FILES = """SELECT source, CAST(doc_id % 8 AS INTEGER) AS part,
+                        CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS file_size_in_bytes
+                 FROM documents GROUP BY source, doc_id % 8"""
 
 
 @query(
@@ -272,7 +274,7 @@ def file_stats(spark, sf_dir):
 @query("list_files", _TEXT_FILES)
 def list_files(spark, sf_dir):
     files = maintenance.list_files(spark, _stored_texts(spark, sf_dir), "*.txt")
-    return files.select("source", "file_size_in_bytes")
+    return files.select("source", "part", "file_size_in_bytes")
 
 
 @query("compact", f"SELECT {_DATED_SQL} FROM bars")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,17 @@ def session(app_name: str = "barstream", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value) -> Iterator[None]:
+    """A session setting while a block runs."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate data.
 

@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wire import as_ticks
+from ..session import setting
 from .starting import stream_writer
 
 #: How often a stream appends to the raw table.
 RAW_INTERVAL = "1 minute"
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value) -> Iterator[None]:
-    """A session setting while a write runs."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def write_raw(
     messages: DataFrame,
     path: str | None = None,
@@ -90,7 +79,7 @@ def write_fanned_out(df: DataFrame, path: str, partition_by: Sequence[str], writ
     is lost.  For input whose tasks hold few partitions each; otherwise a sort is cheaper
     than many open files.
     """
-    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
         df.write.partitionBy(*partition_by).mode("append").parquet(path)
 
 
@@ -108,7 +97,7 @@ def insert_partitions(df: DataFrame, table: str, partition_by: Sequence[str], lo
     if sorted(names) != sorted(df.columns):
         raise ValueError(f"columns {sorted(df.columns)} are not those of {table}: {sorted(names)}")
     # The writer's own option does not reach an insert into a catalog table.
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.select(*names).write.insertInto(table, overwrite=True)
     return spark.table(table)
 

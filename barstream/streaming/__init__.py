@@ -2,7 +2,7 @@
 
 from .dashboard import dashboard_stream, read_dashboard
 from .fanout import OUTPUT_MODES, await_queries, run_pipeline, start_once, start_pipeline
-from .metrics import FlowMetrics, flow_counters, observe_flow
+from .metrics import FlowMetrics, flow_counters, listening, observe_flow
 from .replay import replay_messages, stage_replay
 from .report import read_report, read_report_ticks, report_stream
 from .resample import late_rows, resample_stream
@@ -14,6 +14,7 @@ __all__ = [
     "dashboard_stream",
     "flow_counters",
     "late_rows",
+    "listening",
     "observe_flow",
     "read_dashboard",
     "read_report",

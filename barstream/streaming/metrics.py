@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.flatten import explode_bars, parsed_bars
 
@@ -60,13 +64,17 @@ class FlowMetrics(StreamingQueryListener):
         self.connected = False
         self.last_message_time = None
         self.rows_per_second = 0.0
+        self.batches = 0
         self.totals = dict.fromkeys(COUNTERS, 0)
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
 
     def add(self, progress) -> None:
         self.rows_per_second = progress.processedRowsPerSecond
         row = progress.observedMetrics.get(self.name)
         if row is None:
             return
+        self.batches += 1
         for counter in COUNTERS:
             self.totals[counter] += row[counter]
         if row[LAST_TIME] is not None:
@@ -90,3 +98,31 @@ class FlowMetrics(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         self.connected = False
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def drain(self, running: StreamingQuery, timeout: float = 60.0) -> None:
+        """Wait for the query's end and for the last of its events.
+
+        Events arrive in order and later than the query's end: once the event of the
+        end is here, so is every batch's progress.
+        """
+        running.awaitTermination()
+        with self._change:
+            if not self._change.wait_for(lambda: str(running.runId) in self._ended, timeout):
+                raise TimeoutError(f"no end of query {running.runId} within {timeout} s")
+
+
+@contextmanager
+def listening(spark: SparkSession, name: str = "flow") -> Iterator[FlowMetrics]:
+    """A listener on the session's streams for as long as the block runs.
+
+    It counts every batch, where a query's own ``recentProgress`` keeps the last 100.
+    """
+    metrics = FlowMetrics(name)
+    spark.streams.addListener(metrics)
+    try:
+        yield metrics
+    finally:
+        spark.streams.removeListener(metrics)
