@@ -224,5 +224,5 @@ def test_every_pipeline_stage_equals_plain_python(spark, documents, scores):
     expected = dealt([(d.doc_id, d.text) for d in mixed], 24)
     docs = spark.createDataFrame(mixed, schema)
     assert shard_rows(stages["sharding"](spark, docs, SF)) == expected
-    if sized == {d.doc_id for d in clean}:
-        assert shard_rows(corpus_pipeline.run(spark, SF)) == expected
+    assert sized == {d.doc_id for d in clean}
+    assert shard_rows(corpus_pipeline.run(spark, SF)) == expected
