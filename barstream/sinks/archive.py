@@ -34,12 +34,9 @@ def write_archive(
         _write(archive_chunks(messages, max_records), path, "append")
         return None
 
-    # A micro-batch holds one interval of a topic partition, which one task has read.
-    number = F.row_number().over(Window.partitionBy(*_PLACE).orderBy("offset")) - 1
-    chunk = F.floor(number / max_records)
-
+    # Numbered like a batch: after a long stop a topic partition is spread over many tasks.
     def archive(batch: DataFrame, batch_id: int) -> None:
-        _write(batch.withColumn("chunk", chunk), path, "overwrite")
+        _write(archive_chunks(batch, max_records), path, "overwrite")
 
     return stream_writer(messages, checkpoint, trigger).foreachBatch(archive).start()
 

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import pytest
 
-from barstream.jobs import compact, flatten, load, report, retain, tail
+from barstream.jobs import compact, flatten, load, replay, report, retain, tail
+from barstream.operators.flatten import flatten_messages
 from barstream.operators.wire import as_ticks
 from barstream.plans import tables
 from barstream.sinks.starting import AVAILABLE_NOW
@@ -100,3 +101,49 @@ def test_load_and_retain_jobs(spark, sf_dir, tmp_path, capsys):
     assert "partitions_dropped" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         retain.arguments(["--path", path])
+
+
+def test_compact_and_retain_jobs_by_table_name(spark, sf_dir, capsys):
+    from barstream.plans.upkeep import ticks_table
+
+    name = ticks_table(spark, sf_dir)
+    rows = spark.table(name).count()
+    compact.main(["--table", name])
+    assert "partitions_compacted" in capsys.readouterr().out
+    retain.main(["--table", name, "--since", "2024-01-10T00:00:00"])
+    left = spark.table(name)
+    assert 0 < left.count() < rows and left.where("bar_time < '2024-01-10'").count() == 0
+    with pytest.raises(SystemExit):
+        compact.arguments(["--table", name, "--dest", "elsewhere"])
+    with pytest.raises(SystemExit):
+        retain.arguments(["--table", name, "--days", "1", "--dest", "elsewhere"])
+
+
+def test_compact_job_packs_small_files(spark, sf_dir, capsys):
+    from barstream.plans.evidence import ticks_in_files
+
+    path = ticks_in_files(spark, sf_dir)
+    rows = spark.read.parquet(path).count()
+    compact.main(["--path", path, "--small-files"])
+    assert "files_untouched" in capsys.readouterr().out
+    assert spark.read.parquet(path).count() == rows
+
+
+def test_replay_job_sends_history_in_order(spark, sf_dir, tmp_path):
+    from barstream import sinks
+    from barstream.plans import tables
+
+    history, out = str(tmp_path / "history"), str(tmp_path / "out")
+    sinks.write_history(tables.bars(spark, sf_dir), history)
+    args = ["--history", history, "--staged", str(tmp_path / "staged"), "--out", out,
+            "--interval", "0", "--messages-per-turn", "4"]
+    replay.main(args)
+    sent = spark.read.parquet(out)
+    assert flatten_messages(sent).count() == tables.bars(spark, sf_dir).count()
+    first = flatten_messages(sent.where("turn = 0")).selectExpr("max(bar_time) AS t").first().t
+    later = flatten_messages(sent.where("turn > 0")).selectExpr("min(bar_time) AS t").first().t
+    assert first <= later
+    # A replay that is over sends nothing more.
+    before = sent.count()
+    replay.main(args)
+    assert spark.read.parquet(out).count() == before
