@@ -197,6 +197,44 @@ def test_replay_takes_one_message_at_a_time(spark, sf_dir, tmp_path):
     assert sent in (before, before + before[-1:])
 
 
+def test_replay_without_a_pace_sends_many_turns_at_once(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "replay")
+    messages = tables.messages(spark, sf_dir)
+    streaming.stage_replay(messages, path)
+    sent = []
+
+    def send(turns, number):
+        sent.append((number, [(r.turn, r.offset, r.partition) for r in turns.collect()]))
+
+    how = {"checkpoint": str(tmp_path / "c"), "messages_per_trigger": 2, "turns_at_once": 3}
+    streaming.replay_messages(spark, path, send, trigger=None, **how)
+    places = sorted((r.offset, r.partition) for r in messages.collect())
+    assert len(places) == 10
+    rows = [(i // 2, *place) for i, place in enumerate(places)]
+    assert sent == [(0, rows[:6]), (1, rows[6:])]
+    with pytest.raises(ValueError, match="paced"):
+        streaming.replay_messages(spark, path, send, trigger="1 second", **how)
+
+
+def test_replay_query_takes_few_micro_batches(spark, sf_dir, monkeypatch):
+    """Forty turns of the query are one micro-batch, not forty."""
+    from barstream.plans import flows
+
+    real, calls = streaming.replay_messages, []
+
+    def counted(spark, path, send, **how):
+        real(spark, path, lambda sent, n: (calls.append(n), send(sent, n)), **how)
+
+    monkeypatch.setattr(streaming, "replay_messages", counted)
+    events = spark.range(800).selectExpr(
+        "id AS m", "id % 3 AS partition", "id div 3 AS offset", "cast('' AS binary) AS value"
+    )
+    monkeypatch.setattr(tables, "messages", lambda spark, sf_dir: events.drop("m"))
+    rows = flows._replayed(spark, sf_dir).collect()
+    assert sorted((r.turn, r.offset * 3 + r.partition) for r in rows) == [(i // 20, i) for i in range(800)]
+    assert len(calls) == 1
+
+
 def test_replay_reports_a_failing_sink(spark, sf_dir, tmp_path):
     path = str(tmp_path / "replay")
     streaming.stage_replay(tables.messages(spark, sf_dir), path)
