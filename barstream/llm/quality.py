@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barstream.operators.numbering import number_rows
 from barstream.session import staged
 
 ACCEPT = 0.7
-#: Bounds of what is fitted on the driver: labelled rows per class, pairs drawn of them.
+#: Half the labelled rows of a block, and pairs drawn in it: bounds of a task, not of the fit.
 EXAMPLES = 4_000
 PAIRS = 40_000
 
@@ -72,8 +74,11 @@ class Ranking:
     weights: np.ndarray
     threshold: float
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -10, 10)
+
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -10, 10) @ self.weights
+        return self.standard(x) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """0 to 1; exactly at the threshold it is ``ACCEPT``."""
@@ -90,51 +95,100 @@ class Ranking:
         return of(text)
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, seen: tuple[int, int], ridge=1e-2) -> Ranking:
-    """Fit on examples ``x`` with labels ``y``; ``seen`` counts all rows of label 0 and 1.
+def _blocks(rows: DataFrame, sizes: tuple[int, int], count: int) -> DataFrame:
+    """``block, x, y``: the rows dealt to ``count`` blocks, each of which has both labels.
 
-    Pairs of a label-1 and a label-0 example are drawn with a fixed seed, and Newton
-    steps minimise the logistic loss on their feature differences.  The threshold is
-    the quantile of scores that matches the share of label 0, in the middle of the
-    gap there; examples count by how many rows they stand for.  Without both labels
-    nothing is preferred and every text scores ``ACCEPT``.
+    A label with fewer rows than blocks is there in every block, its rows in turn.
+    """
+    placed = number_rows(rows, ["doc_id"], ["label"], name="place", unique=False)
+    held = F.when(F.col("label") == 1, sizes[1]).otherwise(sizes[0]).cast("long")
+    turns = F.sequence("place", F.lit(count - 1).cast("long"), held)
+    block = F.when(held >= count, F.array(F.col("place") % count)).otherwise(turns)
+
+    def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["doc_id", "place"])
+        x, y = np.array(rows["x"].tolist(), float), rows["label"].to_numpy(np.int64)
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "x": [x.tobytes()], "y": [y.tobytes()]})
+
+    dealt = placed.withColumn("block", F.explode(block)).repartition(count, "block")
+    return dealt.groupBy("block").applyInPandas(packed, "block long, x binary, y binary")
+
+
+def _newton_sums(blocks: DataFrame, ranking: Ranking, pairs: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Pairs, gradient and Hessian of their logistic loss, summed over all blocks."""
+    k = len(ranking.weights)
+
+    def add(batches):
+        total, gradient, hessian = 0, np.zeros(k), np.zeros((k, k))
+        for batch in batches:
+            for block, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                y = np.frombuffer(y, np.int64)
+                z = ranking.standard(np.frombuffer(x, np.float64).reshape(len(y), k))
+                rng = np.random.default_rng(7 + block)
+                good, bad = (rng.choice(np.flatnonzero(y == v), pairs) for v in (1, 0))
+                d = z[good] - z[bad]
+                p = 1 / (1 + np.exp(np.clip(d @ ranking.weights, -500, 500)))
+                total += pairs
+                gradient -= d.T @ p
+                hessian += (d * (p * (1 - p))[:, None]).T @ d
+        sums = np.concatenate([[total], gradient, hessian.ravel()])
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
+
+    sums = sum(np.array(r.sums) for r in blocks.mapInArrow(add, "sums array<double>").collect())
+    return int(sums[0]), sums[1 : k + 1], sums[k + 1 :].reshape(k, k)
+
+
+def fit_pairs(rows: DataFrame, examples: int = EXAMPLES, ridge: float = 1e-2) -> Ranking:
+    """Fit on all ``rows``: ``doc_id, label, x``.
+
+    They are dealt to blocks of about ``2 * examples``; in each, ``PAIRS`` pairs of a
+    label-1 and a label-0 row are drawn with a fixed seed, and Newton steps minimise the
+    logistic loss on the feature differences of all blocks' pairs.  So the pairs grow
+    with the rows; means, spreads and the threshold are exact over all rows.  The
+    threshold is the quantile of scores that matches the share of label 0, in the
+    middle of the gap there.  Without both labels nothing is preferred and every text
+    scores ``ACCEPT``.
     """
-    k = x.shape[1] if x.ndim == 2 and len(x) else len(features(""))
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
+    k = len(features(""))
+    found = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    sizes = found.get(0, 0), found.get(1, 0)
+    if not all(sizes):
         return Ranking(np.zeros(k), np.ones(k), np.zeros(k), 0.0)
-    mean, spread = x.mean(0), x.std(0)
+    moments = [f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(k)]
+    mean, spread = np.array(rows.agg(*moments).first(), float).reshape(2, k)
     scale = np.where(spread > 1e-9, spread, 1.0)
-    rng = np.random.default_rng(7)
-    z = np.clip((x - mean) / scale, -10, 10)
-    d = z[rng.choice(good, PAIRS)] - z[rng.choice(bad, PAIRS)]
-    w = np.zeros(k)
+    blocks = staged(_blocks(rows, sizes, -(-sum(sizes) // (2 * examples))), "pair-blocks")
+    ranking = Ranking(mean, scale, np.zeros(k), 0.0)
     for _ in range(30):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
-        gradient = -(d * p[:, None]).mean(0) + ridge * w
-        hessian = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(k)
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
+        pairs, gradient, hessian = _newton_sums(blocks, ranking, PAIRS)
+        w = ranking.weights
+        step = np.linalg.solve(hessian / pairs + ridge * np.eye(k), gradient / pairs + ridge * w)
+        ranking = Ranking(mean, scale, w - step, 0.0)
         if np.abs(step).max() < 1e-6:
             break
-    raw = z @ w
-    weight = np.where(y == 1, seen[1] / len(good), seen[0] / len(bad))
-    order = np.argsort(raw, kind="stable")
-    share = np.cumsum(weight[order]) / weight.sum()
-    at = int(np.searchsorted(share, seen[0] / sum(seen) - 1e-9))
-    upper = raw[order[min(at + 1, len(order) - 1)]]
-    return Ranking(mean, scale, w, float((raw[order[at]] + upper) / 2))
 
+    @F.pandas_udf("double")
+    def raw_of(x: pd.Series) -> pd.Series:
+        return pd.Series(ranking.raw(np.array(x.tolist(), float).reshape(len(x), k)))
 
-def labelled_sample(labels: DataFrame, label: str, allowed: Column, examples: int) -> DataFrame:
-    """``doc_id, label``: per class the ``examples`` allowed ids of the smallest hash.
+    ranks = number_rows(rows.select(raw_of("x").alias("raw")), ["raw"], name="rank", unique=False)
+    middle = ranks.where(F.col("rank").isin(sizes[0] - 1, sizes[0])).agg(F.avg("raw")).first()[0]
+    return Ranking(mean, scale, ranking.weights, float(middle))
+
+
+def labelled_rows(labels: DataFrame, label: str, allowed: Column) -> DataFrame:
+    """``doc_id, label`` of all allowed documents that have a label, 0 or 1.
 
     A doc that is labelled more than once counts as 1 if any label is 1; null ids and
     labels are no examples.
     """
     rows = labels.where(allowed & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-    one = rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    one = one.withColumn("turn", F.xxhash64("doc_id"))
+    return rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")).where("label IN (0, 1)")
+
+
+def labelled_sample(labels: DataFrame, label: str, allowed: Column, examples: int) -> DataFrame:
+    """``doc_id, label``: per class the ``examples`` allowed ids of the smallest hash."""
+    one = labelled_rows(labels, label, allowed).withColumn("turn", F.xxhash64("doc_id"))
     picked = [
         one.where(F.col("label") == value).orderBy("turn", "doc_id").limit(examples)
         for value in (0, 1)
@@ -144,8 +198,7 @@ def labelled_sample(labels: DataFrame, label: str, allowed: Column, examples: in
 
 def label_counts(labels: DataFrame, label: str, allowed: Column) -> tuple[int, int]:
     """How many documents of label 0 and 1 the sample stands for."""
-    rows = labels.where(allowed & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-    one = rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    one = labelled_rows(labels, label, allowed)
     found = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
     return found.get(0, 0), found.get(1, 0)
 
@@ -153,24 +206,18 @@ def label_counts(labels: DataFrame, label: str, allowed: Column) -> tuple[int, i
 def fit_quality(
     docs: DataFrame, labels: DataFrame, allowed: Column, examples: int = EXAMPLES
 ) -> Ranking:
-    """Fit on at most ``examples`` labelled documents per class for which ``allowed`` holds."""
-    sample = labelled_sample(labels, "quality", allowed, examples)
+    """Fit on every labelled document for which ``allowed`` holds.
+
+    The features are taken before the join, so that no text is shuffled.
+    """
 
     @F.pandas_udf("array<double>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in texts])
 
-    rows = (
-        docs.select("doc_id", "text")
-        .join(sample, "doc_id")
-        .select("doc_id", "label", of("text").alias("x"))
-        .orderBy("doc_id")
-        .limit(4 * examples)
-        .collect()
-    )
-    x = np.array([r["x"] for r in rows], float)
-    y = np.array([r["label"] for r in rows], int)
-    return fit_pairs(x, y, label_counts(labels, "quality", allowed))
+    described = docs.where(allowed).select("doc_id", of("text").alias("x"))
+    rows = described.join(labelled_rows(labels, "quality", allowed), "doc_id")
+    return fit_pairs(staged(rows, "labelled-features"), examples)
 
 
 def score_quality(docs: DataFrame, ranking: Ranking) -> DataFrame:

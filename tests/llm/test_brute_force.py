@@ -133,6 +133,30 @@ def test_ranking_equals_plain_python(spark, documents, scores):
         assert r.predicted == (r.score >= 0.7)
 
 
+def test_ranking_is_fitted_on_all_labelled_rows(spark):
+    """Rows beyond ``examples`` count too: in the moments, in the pairs and in the threshold."""
+    from pyspark.sql import functions as F
+
+    docs = [(i, "plain words " * (i % 7 + 2) + "!! SHOUT | " * (i % 3 == 0)) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i, _ in docs], "doc_id long, quality int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    ranking = quality.fit_quality(frame, labels, F.lit(True), 4)
+    x = np.array([described(t) for _, t in docs])
+    assert ranking.mean == pytest.approx(x.mean(0)) and ranking.scale == pytest.approx(
+        np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    )
+    raw = np.sort(ranking.raw(x))
+    assert ranking.threshold == pytest.approx((raw[29] + raw[30]) / 2)
+    rows = frame.join(labels, "doc_id").selectExpr("doc_id", "quality AS label", "array(doc_id * 1D) AS x")
+    for sizes, count in (((30, 60), 12), ((30, 60), 40)):
+        blocks = [
+            (np.frombuffer(r.x).astype(int).tolist(), np.frombuffer(r.y, np.int64).tolist())
+            for r in quality._blocks(rows, sizes, count).collect()
+        ]
+        assert len(blocks) == count and all(set(y) == {0, 1} for _, y in blocks)
+        assert {i for x, _ in blocks for i in x} == set(range(90))
+
+
 def dealt(rows, k):
     """The expected (doc_id, size, crc, shard, slot) of rows (doc_id, text), by differencing lists."""
     groups: dict[bytes, int] = Counter()
