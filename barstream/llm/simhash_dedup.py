@@ -264,15 +264,64 @@ def _wanted_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.groupBy("digest").agg(once).join(wanted, "digest", "left_semi")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose shingle sets are at least so similar."""
-    size = F.size("set")
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    sizes = sets.select("node", size.alias("n"))
-    near = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    near = near.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
-    sided = near.join(right, "b").join(left, "a")
+def sketch_of(set_: Column) -> Column:
+    """Which of the buckets of a set hold an odd number of its hashes, as 64-bit words.
+
+    There are 64 buckets for every started 64 hashes, rounded up to a power of two.
+    """
+
+    @F.pandas_udf("array<long>")
+    def of(sets: pd.Series) -> pd.Series:
+        out = []
+        for s in sets:
+            s = np.asarray(s, np.int64).view(np.uint64)
+            bits = 64 << max(0, (len(s) - 1) // 64).bit_length()
+            odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+            out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8"))
+        return pd.Series(out)
+
+    return of(set_)
+
+
+def _may_pass(p: str, q: str, similarity: float) -> Column:
+    """Whether two sets, by their sizes ``n`` and sketches, can be so similar; none that is fails.
+
+    A bucket that is odd in one set alone holds a hash of that set alone or the other, so
+    such buckets are at most as many as the hashes that the sets do not share.  The longer
+    of two sketches is folded to the length of the other.
+    """
+    x, y, n, m = f"{p}.sketch", f"{q}.sketch", F.col(f"{p}.n"), F.col(f"{q}.n")
+
+    def folded(s: str) -> str:
+        half = f"size({s}) div 2"
+        return f"zip_with(slice({s}, 1, int({half})), slice({s}, int({half}) + 1, int({half})), (a, b) -> a ^ b)"
+
+    def odd(s: str, t: str) -> str:
+        return f"aggregate(zip_with({s}, {t}, (a, b) -> bit_count(a ^ b)), 0, (sum, v) -> sum + v)"
+
+    apart = F.expr(
+        f"""CASE WHEN size({x}) = size({y}) THEN {odd(x, y)}
+                 WHEN size({x}) = 2 * size({y}) THEN {odd(folded(x), y)}
+                 WHEN 2 * size({x}) = size({y}) THEN {odd(x, folded(y))} ELSE 0 END"""
+    )
+    near = F.least(n, m) >= similarity * F.greatest(n, m)
+    return near & (apart * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6)
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose shingle sets are at least so similar.
+
+    Sets are only moved for pairs that their sketches let through.
+    """
+    near = pairs.join(sketches.alias("p"), F.col("a") == F.col("p.node"))
+    near = near.join(sketches.alias("q"), F.col("b") == F.col("q.node"))
+    near = staged(near.where(_may_pass("p", "q", similarity)).select("a", "b"), "near-pairs")
+
+    def side(end: str) -> DataFrame:
+        own = near.select(F.col(end).alias("node")).distinct()
+        return sets.join(own, "node", "left_semi").select(F.col("node").alias(end), F.col("set").alias(f"s{end}"))
+
+    sided = near.join(side("b"), "b").join(side("a"), "a")
     both = F.size(F.array_intersect("sa", "sb"))
     either = F.size("sa") + F.size("sb") - both
     return sided.where((either == 0) | (both >= similarity * either)).select("a", "b")
@@ -287,37 +336,32 @@ def _open_members(members: DataFrame, links: DataFrame, purpose: str) -> DataFra
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """``node, prefix``: a set's shared shingles among its first ``n - ceil(similarity n) + 1``.
+    """``node, prefix``: a set's first ``n - ceil(similarity n) + 1`` shingles.
 
-    With shingles in one order for all, the rare ones first, two sets that are so similar
-    share one of these, and texts with words of their own share none.  Shingles of
-    one set only take up places but meet nothing, so they are counted and not sorted.
-    Each is shortened to 16 bits, which only lets more pairs through.
+    All sets are in one order, that of the hashes, so two that are so similar share one
+    of these.  Each is shortened to 16 bits, which only lets more pairs through.
     """
-    shingles = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("s"))
-    shared = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    own = Window.partitionBy("node")
-    ranked = shingles.join(shared, "s").withColumn("rank", F.row_number().over(own.orderBy("df", "s")))
-    ranked = ranked.withColumn("alone", F.col("n") - F.count(F.lit(1)).over(own))
-    length = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
-    short = (F.col("s").bitwiseAND(F.lit(65_535)) - 32_768).cast("short")
-    held = ranked.where(F.col("alone") + F.col("rank") <= length)
-    return held.groupBy("node").agg(F.collect_set(short).alias("prefix"))
-
-
-def _across(members: DataFrame) -> DataFrame:
+    n = F.size("set")
+    first = F.slice("set", 1, (n - F.ceil(similarity * n - 1e-9) + 1).cast("int"))
+    short = F.transform(first, lambda s: (s.bitwiseAND(F.lit(65_535)) - 32_768).cast("short"))
+    return sets.select("node", short.alias("prefix"))
+
+
+def _across(members: DataFrame, similarity: float | None = None) -> DataFrame:
     """All pairs ``a, b`` of different roots that share a bucket and a shingle of their ``prefix``.
 
+    With ``similarity`` only those whose sizes ``n`` and ``sketch`` let them be so similar.
     Two nodes with one segment share its 32 buckets, of which the first counts; two
     that differ by one bit share the bucket of that bit only.  So a pair comes at most
     once a segment.
     """
     first = F.shiftright(F.col("p.key"), 32) % 32 == 0
+    meet = F.arrays_overlap("p.prefix", "q.prefix")
     joined = members.alias("p").join(
         members.alias("q"),
         (F.col("p.key") == F.col("q.key")) & (F.col("p.root") < F.col("q.root"))
         & ((F.col("p.own") != F.col("q.own")) | first)
-        & F.arrays_overlap("p.prefix", "q.prefix"),
+        & (meet if similarity is None else _may_pass("p", "q", similarity) & meet),
     )
     return joined.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
@@ -339,9 +383,9 @@ def near_duplicates(
     one bit at most, which takes in all that lie within 3 bits.  First every text is
     held against the smallest it shares a bucket with, then against the smallest of
     each bucket that still holds several components, and in the end the members of
-    such buckets against those of other components, where the rarest shingles
-    of their sets meet; so no candidate pair is left out but those that are connected already or
-    cannot pass.  Links are verified by the exact Jaccard
+    such buckets against those of other components, where the first shingles
+    and the sketches of their sets allow it; so no candidate pair is left out but those that are
+    connected already or cannot pass.  Links are verified by the exact Jaccard
     similarity of the five-word shingles, at least ``similarity``.  Texts without
     words are copies of each other.  An empty table has no group.
     """
@@ -361,17 +405,17 @@ def near_duplicates(
     body = _wanted_texts(texts.select("digest", "text"), held.select("digest"))
     sets = body.select("digest", shingles_of(F.col("text"), shingle).alias("set")).join(held, "digest")
     sets = staged(sets.select("node", "set"), "shingle-sets")
+    sketches = staged(sets.select("node", F.size("set").alias("n"), sketch_of(F.col("set")).alias("sketch")), "sketches")
     stars = members.groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).where("a <> b")
-    links = staged(_verified(stars, sets, similarity), "star-links")
+    links = staged(_verified(stars, sketches, sets, similarity), "star-links")
     left = _open_members(members, links, "star")
     leaders = left.where("node = least").select("key", F.col("root").alias("led"))
     stars = left.join(leaders, "key").where("root <> led").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    links = links.unionByName(staged(_verified(stars.distinct(), sets, similarity), "bucket-links"))
+    links = links.unionByName(staged(_verified(stars.distinct(), sketches, sets, similarity), "bucket-links"))
     left = _open_members(left, links, "bucket")
-    some = sets.join(left.select("node").distinct(), "node", "left_semi")
-    prefixes = staged(_prefixes(some, similarity), "prefixes")
-    across = staged(_across(left.join(prefixes, "node")), "cross-pairs")
-    links = links.unionByName(staged(_verified(across, sets, similarity), "cross-links"))
+    marks = _prefixes(sets, similarity).join(sketches, "node")
+    across = staged(_across(left.join(marks, "node"), similarity), "cross-pairs")
+    links = links.unionByName(staged(_verified(across, sketches, sets, similarity), "cross-links"))
     return _lead(nodes, links).join(nodes.select("node", "digest"), "node").select("digest", "component_id")
 
 

@@ -118,6 +118,45 @@ def test_prefixes_of_similar_sets_meet(spark, texts):
     assert met < 0.1 * len(held) * len(held) / 2
 
 
+def test_sketches_pass_all_similar_sets_and_few_others(spark, texts):
+    rng = np.random.default_rng(5)
+    sets = [np.unique([hash(s) for s in shingles(t)]).astype(np.int64) for t in texts[-90:]]
+    for n in (0, 1, 60, 64, 65, 128, 130, 1000, 5000):  # about where the sketch's length doubles
+        base = rng.integers(-(1 << 62), 1 << 62, n)
+        sets += [np.unique(base), np.unique(np.append(base, rng.integers(0, 1 << 62, n // 5)))]
+        sets.append(np.unique(np.append(base[: n * 2 // 3], rng.integers(0, 1 << 62, n // 3))))
+    frame = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "node long, set array<long>")
+    marks = frame.select("node", F.size("set").alias("n"), simhash_dedup.sketch_of(F.col("set")).alias("sketch"))
+    p, q = marks.alias("p"), marks.alias("q")
+    pairs = p.join(q, (F.col("p.node") < F.col("q.node")) & simhash_dedup._may_pass("p", "q", 0.8))
+    got = {tuple(r) for r in pairs.select("p.node", "q.node").collect()}
+    held = [frozenset(s.tolist()) for s in sets]
+    true = {(a, b) for a, b in combinations(range(len(held)), 2) if similarity(held[a], held[b]) >= 0.8}
+    assert len(true) > 30 and true <= got and len(got - true) < 0.2 * len(true)
+
+
+def test_a_group_of_near_copies_gives_no_pairs_in_its_square(spark, monkeypatch):
+    """Texts of the same words that share some shingles, but too few: no pair comes out of the last join."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(40):
+        order = list(words)
+        for at in rng.choice(55, 4, False):
+            order[at], order[at + 5] = order[at + 5], order[at]
+        texts.append(" ".join(order))
+    real, found = simhash_dedup._across, []
+
+    def counted(*args):
+        pairs = real(*args)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(simhash_dedup, "_across", counted)
+    groups_of(spark, texts)
+    assert found[0] <= len(texts)
+
+
 def test_large_wanted_sets_go_by_shuffle(spark, texts, monkeypatch):
     small = texts[-60:]
     few = groups_of(spark, small)
