@@ -226,34 +226,45 @@ def _identity(text: Column) -> Column:
     return digest_of(F.when(text.rlike(NON_BLANKS), text).otherwise(""))
 
 
-def bucket_members(nodes: DataFrame, count: int) -> DataFrame:
-    """``key, node, own, least``: who shares a bucket, with the smallest node of that bucket.
-
-    Each of the ``count`` fingerprints (``fps``) has two segments of 32 bits, each with
-    each of its bits in turn made a wildcard; a bucket is one such segment.  Two nodes
-    within 3 bits in some fingerprint share a bucket, as do others of which a whole
-    segment differs by one bit at most.  ``own`` is the node's
-    value of the wildcard bit.  Nodes alone in a bucket are left out.
+def bucket_members(nodes: DataFrame, count: int, tasks: int = 1) -> DataFrame:
+    """``key, node, near, least``: who shares a segment or one that differs by one bit.
+
+    Each of the ``count`` fingerprints (``fps``) has two segments of 32 bits; ``key`` is one
+    such segment.  Two nodes within 3 bits in some fingerprint have a segment in common or
+    two that differ by one bit, as do others.  Nodes of one segment are a group, and only
+    the groups are brought together with each bit made a wildcard, so a group
+    of copies is not repeated for each bit.  ``near`` are the adjacent groups: of two, the
+    one with fewer nodes names the other.  ``least`` is the smallest node of the group and
+    all adjacent ones.  Nodes alone in a group without adjacent ones are left out.
     """
     word = (1 << 32) - 1
     pieces = []
     for number in range(count):
         for slot, (first, _) in enumerate(segments(3)):
             segment = F.shiftrightunsigned(F.col("fps")[number], first).bitwiseAND(F.lit(word))
-            pieces.append(F.struct(F.lit((number * 2 + slot) * 32).cast("long").alias("at"), segment.alias("segment")))
-    masks = [F.struct(F.lit(b).alias("bit"), F.lit(word ^ (1 << b)).alias("mask")) for b in range(32)]
-    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("piece"))
-    rows = rows.select("node", "piece.*", F.explode(F.array(*masks)).alias("wild"))
-    key = F.shiftleft(F.col("at") + F.col("wild.bit"), 32).bitwiseOR(F.col("segment").bitwiseAND(F.col("wild.mask")))
-    own = F.when(F.col("segment").bitwiseAND(F.col("wild.mask")) == F.col("segment"), 0).otherwise(1)
-    rows = rows.select(key.alias("key"), (2 * F.col("node") + own).alias("tagged"))
-    bucket = Window.partitionBy("key").orderBy("tagged")
-    upto = bucket.rowsBetween(Window.unboundedPreceding, 0)
-    held = rows.withColumn("first", F.first("tagged").over(upto)).withColumn("next", F.lead("tagged").over(bucket))
-    return held.where("first <> tagged OR next IS NOT NULL").select(
-        "key", F.shiftright("tagged", 1).alias("node"), (F.col("tagged") % 2).alias("own"),
-        F.shiftright("first", 1).alias("least"),
-    )
+            pieces.append(segment.bitwiseOR(F.lit((number * 2 + slot) << 32)))
+    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("key"))
+    groups = rows.repartition(tasks, "key").groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n"))
+    groups = staged(groups, "segment-groups")
+    bits = F.explode(F.array(*[F.lit(b) for b in range(32)])).alias("bit")
+    wild = groups.repartition(tasks, "key").select("*", bits).withColumn("one", F.expr("shiftleft(1L, bit)"))
+    rest = F.col("key").bitwiseAND(F.bitwise_not("one"))
+    wild = wild.select(
+        rest.bitwiseOR(F.shiftleft(F.col("bit").cast("long"), 56)).alias("bucket"), "key", "least", "n"
+    )
+    bucket = Window.partitionBy("bucket").orderBy("key")
+    pairs = wild.withColumn("other", F.lead(F.struct("key", "least", "n")).over(bucket)).where("other IS NOT NULL")
+    pairs = staged(pairs.select("key", "least", "n", "other"), "adjacent-groups")
+    here = F.when(F.col("n") <= F.col("other.n"), F.col("other.key"))
+    there = F.when(F.col("n") > F.col("other.n"), F.col("key"))
+    around = pairs.select("key", F.col("other.least").alias("beyond"), here.alias("name"))
+    around = around.unionByName(pairs.select(F.col("other.key").alias("key"), F.col("least").alias("beyond"), there.alias("name")))
+    around = around.groupBy("key").agg(F.min("beyond").alias("beyond"), F.collect_list("name").alias("near"))
+    kept = groups.join(around, "key", "left").where("n > 1 OR near IS NOT NULL")
+    kept = kept.select(
+        "key", F.least("least", "beyond").alias("least"), F.coalesce("near", F.array().cast("array<bigint>")).alias("near")
+    )
+    return rows.join(kept, "key").select("key", "node", "near", "least")
 
 
 def _wanted_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -328,11 +339,37 @@ def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, similarity
 
 
 def _open_members(members: DataFrame, links: DataFrame, purpose: str) -> DataFrame:
-    """The members, with their ``root`` by ``links``, of buckets that hold several roots."""
+    """The members, with their ``root`` by ``links``, of groups that meet another root.
+
+    That is in the group itself or in an adjacent one; ``near`` keeps the adjacent groups of that kind.
+    """
     roots = staged(components(links), f"{purpose}-roots")
     rooted = members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return staged(rooted.join(open_.select("key"), "key", "left_semi"), f"{purpose}-open")
+    rooted = staged(rooted, f"{purpose}-rooted")
+    spans = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.first("near").alias("near"))
+    spans = staged(spans, f"{purpose}-spans")
+    far = spans.select(F.col("key").alias("other"), F.col("low").alias("far_low"), F.col("high").alias("far_high"))
+    edges = spans.select("key", "low", "high", F.explode("near").alias("other")).join(far, "other")
+    edges = edges.where(F.least("low", "far_low") != F.greatest("high", "far_high")).select("key", "other")
+    open_ = spans.where("low <> high").select("key", F.lit(None).cast("long").alias("other"))
+    open_ = open_.unionByName(edges).unionByName(edges.select(F.col("other").alias("key"), F.lit(None).cast("long").alias("other")))
+    open_ = open_.groupBy("key").agg(F.collect_list("other").alias("near"))
+    return staged(rooted.drop("near").join(open_, "key"), f"{purpose}-open")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs ``a, b``: each node with the smallest around it, of its group and of the adjacent ones that it names.
+
+    Only of different roots; at most two for each member and one for each adjacent group.
+    """
+    heads = members.groupBy("key").agg(F.min(F.struct("node", "root")).alias("head"))
+    heads = heads.select(F.col("key").alias("at"), F.col("head.node").alias("a"), F.col("head.root").alias("led"))
+    around = members.select("node", "root", F.explode(F.concat(F.array("key"), "near")).alias("at"))
+    inner = around.join(heads, "at").where("root <> led").select("a", F.col("node").alias("b")).distinct()
+    led = members.select(F.col("node").alias("a"), F.col("root").alias("led")).distinct()
+    outer = members.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"), "root").distinct()
+    outer = outer.join(led, "a").where("root <> led").select("a", "b")
+    return inner.unionByName(outer).distinct()
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
@@ -348,22 +385,26 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _across(members: DataFrame, similarity: float | None = None) -> DataFrame:
-    """All pairs ``a, b`` of different roots that share a bucket and a shingle of their ``prefix``.
+    """All pairs ``a, b`` of different roots in one group or two adjacent ones that share a shingle of their ``prefix``.
 
     With ``similarity`` only those whose sizes ``n`` and ``sketch`` let them be so similar.
-    Two nodes with one segment share its 32 buckets, of which the first counts; two
-    that differ by one bit share the bucket of that bit only.  So a pair comes at most
-    once a segment.
+    A pair comes at most once a segment.
     """
-    first = F.shiftright(F.col("p.key"), 32) % 32 == 0
     meet = F.arrays_overlap("p.prefix", "q.prefix")
-    joined = members.alias("p").join(
-        members.alias("q"),
-        (F.col("p.key") == F.col("q.key")) & (F.col("p.root") < F.col("q.root"))
-        & ((F.col("p.own") != F.col("q.own")) | first)
-        & (meet if similarity is None else _may_pass("p", "q", similarity) & meet),
-    )
-    return joined.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    meet = meet if similarity is None else _may_pass("p", "q", similarity) & meet
+    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    inside = members.join(several.select("key"), "key", "left_semi")
+    inside = inside.alias("p").join(
+        inside.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.root") < F.col("q.root")) & meet
+    )
+    beside = members.withColumn("other", F.explode("near")).alias("p")
+    beside = beside.join(
+        members.alias("q"), (F.col("p.other") == F.col("q.key")) & (F.col("p.root") != F.col("q.root")) & meet
+    )
+    ahead = F.col("p.root") < F.col("q.root")
+    p, q = F.col("p.node"), F.col("q.node")
+    beside = beside.select(F.when(ahead, p).otherwise(q).alias("a"), F.when(ahead, q).otherwise(p).alias("b"))
+    return inside.select(p.alias("a"), q.alias("b")).unionByName(beside).distinct()
 
 
 def near_duplicates(
@@ -381,9 +422,9 @@ def near_duplicates(
     9 bits in the middle, at a similarity of 0.8) out of any radius that can be
     searched.  Texts are candidates where some segment of some fingerprint differs by
     one bit at most, which takes in all that lie within 3 bits.  First every text is
-    held against the smallest it shares a bucket with, then against the smallest of
-    each bucket that still holds several components, and in the end the members of
-    such buckets against those of other components, where the first shingles
+    held against the smallest it shares a bucket with, then against the smallest around
+    each of its segments that still meets several components, and in the end the members of
+    such segments against those of other components, where the first shingles
     and the sketches of their sets allow it; so no candidate pair is left out but those that are
     connected already or cannot pass.  Links are verified by the exact Jaccard
     similarity of the five-word shingles, at least ``similarity``.  Texts without
@@ -399,7 +440,7 @@ def near_duplicates(
         "text-nodes",
     )
     tasks = max(1, -(-nodes.count() // NODES_PER_TASK))
-    members = staged(bucket_members(nodes.select("node", "fps").repartition(tasks, "node"), fingerprints), "bucket-members")
+    members = staged(bucket_members(nodes.select("node", "fps"), fingerprints, tasks), "bucket-members")
     held = nodes.select("node", "digest").join(members.select("node").distinct(), "node", "left_semi")
     held = staged(held, "candidate-texts")
     body = _wanted_texts(texts.select("digest", "text"), held.select("digest"))
@@ -409,9 +450,8 @@ def near_duplicates(
     stars = members.groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).where("a <> b")
     links = staged(_verified(stars, sketches, sets, similarity), "star-links")
     left = _open_members(members, links, "star")
-    leaders = left.where("node = least").select("key", F.col("root").alias("led"))
-    stars = left.join(leaders, "key").where("root <> led").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    links = links.unionByName(staged(_verified(stars.distinct(), sketches, sets, similarity), "bucket-links"))
+    stars = _stars(left)
+    links = links.unionByName(staged(_verified(stars, sketches, sets, similarity), "bucket-links"))
     left = _open_members(left, links, "bucket")
     marks = _prefixes(sets, similarity).join(sketches, "node")
     across = staged(_across(left.join(marks, "node"), similarity), "cross-pairs")

@@ -107,6 +107,25 @@ def test_buckets_give_each_near_pair_at_most_once_a_segment(spark):
     assert all(r.least == 0 for r in members.collect())
 
 
+def test_large_groups_give_one_row_a_segment_and_all_their_pairs(spark):
+    """Two groups of copies that differ by one bit, and a third: no row for each of 32 bits."""
+    base = 0x0123456789ABCDEF
+    prints = [base] * 30 + [base ^ 1] * 20 + [base ^ 1 ^ (1 << 33) ^ (1 << 34)] * 5 + [7 << 20]
+    nodes = spark.createDataFrame([(i, [f]) for i, f in enumerate(prints)], "node long, fps array<long>")
+    members = simhash_dedup.bucket_members(nodes, 1).withColumn("prefix", F.array(F.lit(1).cast("short")))
+    assert members.count() == 2 * 55
+    links = spark.createDataFrame([(i, i + 1) for i in range(28)] + [(30, i) for i in range(31, 50)], "a long, b long")
+    left = simhash_dedup._open_members(members, links, "test")
+    root = {i: 0 if i < 29 else 30 if 30 <= i < 50 else i for i in range(56)}
+    assert {r.node: r.root for r in left.collect()} == {i: root[i] for i in range(55)}
+    near = lambda x, y: min(((x ^ y) & 0xFFFFFFFF).bit_count(), ((x ^ y) >> 32).bit_count()) <= 1
+    true = {(a, b) if root[a] < root[b] else (b, a) for a, b in combinations(range(56), 2) if near(prints[a], prints[b])}
+    assert {tuple(r) for r in simhash_dedup._across(left).collect()} == {(a, b) for a, b in true if root[a] != root[b]}
+    # Once all are of one root nothing is left open.
+    links = spark.createDataFrame([(i, i + 1) for i in range(54)], "a long, b long")
+    assert simhash_dedup._open_members(left, links, "test").count() == 0
+
+
 def test_prefixes_of_similar_sets_meet(spark, texts):
     sets = [np.unique([hash(s) for s in shingles(t)]).astype(np.int64) for t in texts[-150:]]
     frame = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "node long, set array<long>")
