@@ -75,7 +75,12 @@ class BlockMaxIndex:
         return self.nearest_of([query], k)[0]
 
     def nearest_of(self, queries: list[dict[bytes, float]], k: int) -> list[list[tuple[float, int]]]:
-        """``nearest`` of each query.
+        """``nearest`` of each query."""
+        found = [[(self.terms[t], w) for t, w in query.items() if t in self.terms] for query in queries]
+        return self.nearest_to([(np.array([t for t, _ in f], np.int64), np.array([w for _, w in f])) for f in found], k)
+
+    def nearest_to(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each query, given by the numbers of its terms in the index and their weights.
 
         The common terms are added in short numbers, all queries at once.  A block is
         opened only where its largest sum, and an example is only added up exactly
@@ -86,19 +91,18 @@ class BlockMaxIndex:
             return [[] for _ in queries]
         heavy = np.zeros((len(queries), self.dense.shape[1]))
         rare = np.zeros((len(queries), padded))
-        for i, query in enumerate(queries):
-            found = [(self.terms[t], w) for t, w in query.items() if t in self.terms]
-            at = np.fromiter((t for t, _ in found), np.int64, len(found))
-            weight = np.fromiter((w for _, w in found), np.float64, len(found))
+        for i, (at, weight) in enumerate(queries):
             column = self.column[at]
-            heavy[i, column[column >= 0]] = weight[column >= 0]
-            at, weight = at[column < 0], weight[column < 0]
+            common = column >= 0
+            heavy[i, column[common]] = weight[common]
+            at, weight = at[~common], weight[~common]
             counts = self.counts[at]
             ends = np.cumsum(counts)
             spots = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)
             added = self.weights[spots] * np.repeat(weight, counts)
             rare[i] = np.bincount(self.docs[spots], weights=added, minlength=padded)
-        sums = rare.astype(np.float32) + heavy.astype(np.float32) @ self.short
+        sums = heavy.astype(np.float32) @ self.short
+        sums += rare
         tops = sums.reshape(len(queries), self.blocks, BLOCK).max(2)
         out = []
         for i in range(len(queries)):
@@ -152,7 +156,6 @@ class ToxicityModel:
     """Examples with their labels and index, term weights, and the base rates."""
 
     def __init__(self, examples, idf: dict[bytes, float], counts: tuple[int, int]):
-        self.idf = idf
         sample = Counter(label for _, label, _ in examples)
         self.stands = [counts[v] / max(1, sample[v]) for v in (0, 1)]
         self.prior = (counts[1] + 0.5) / (sum(counts) + 1)
@@ -160,31 +163,41 @@ class ToxicityModel:
 
         def vectors() -> Iterator[dict[bytes, float]]:
             for doc_id, label, tf in examples:
-                vector = self.vector(tf)
-                if vector:
+                weights = {t: (1 + math.log(n)) * idf[t] for t, n in tf.items() if t in idf}
+                norm = math.sqrt(sum(w * w for w in weights.values()))
+                if norm:
                     self.ids.append(doc_id)
                     self.labels.append(label)
-                    yield vector
+                    yield {t: w / norm for t, w in weights.items()}
                 else:
                     blank[label] += self.stands[label]
 
         self.index = BlockMaxIndex(vectors())
+        self.idf = np.fromiter((idf[t] for t in self.index.terms), np.float64, len(self.index.terms))
         self.blank = (blank[1] + self.prior) / (sum(blank) + 1)
 
-    def vector(self, tf: dict[bytes, int]) -> dict[bytes, float]:
-        weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in tf.items() if t in self.idf}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items()} if norm else {}
-
-    def score(self, tf: dict[bytes, int]) -> tuple[float, list[tuple[int, float, int]]]:
-        """The share of toxic votes, weighted by squared cosine, and the nearest examples."""
-        return self.vote(self.index.nearest(self.vector(tf), NEIGHBOURS))
+    def vectors(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The numbers and weights of the known terms of each text; each term is looked up once."""
+        number, tfs = self.index.terms.get, [Counter(words) for words in texts]
+        sizes = [len(tf) for tf in tfs]
+        at = np.fromiter((number(t, -1) for tf in tfs for t in tf), np.int64, sum(sizes))
+        times = np.fromiter((n for tf in tfs for n in tf.values()), np.int64, sum(sizes))
+        known = at >= 0
+        weights = (1 + np.log(times)) * np.where(known, self.idf[at], 0.0) if len(self.idf) else np.zeros(len(at))
+        out, end = [], 0
+        for size in sizes:
+            part = slice(end, end + size)
+            end += size
+            held = known[part]
+            weight = weights[part][held]
+            out.append((at[part][held], weight / math.sqrt(weight @ weight) if len(weight) else weight))
+        return out
 
-    def score_of(self, tfs: list[dict[bytes, int]]) -> list[tuple]:
-        vectors = [self.vector(tf) for tf in tfs]
+    def score_of(self, texts: list[list[bytes]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        """By the terms of each text: the share of toxic votes, weighted by squared cosine, and the nearest examples."""
         near = []
-        for i in range(0, len(vectors), AT_ONCE):
-            near += self.index.nearest_of(vectors[i : i + AT_ONCE], NEIGHBOURS)
+        for i in range(0, len(texts), AT_ONCE):
+            near += self.index.nearest_to(self.vectors(texts[i : i + AT_ONCE]), NEIGHBOURS)
         return [self.vote(n) for n in near]
 
     def vote(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[int, float, int]]]:
@@ -277,7 +290,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 if len(memory) >= MEMORY:
                     memory.clear()
                 new = {key: text for key, text in zip(keys, part) if key not in memory}
-                memory.update(zip(new, model.score_of([Counter(terms_of(t)) for t in new.values()])))
+                memory.update(zip(new, model.score_of([terms_of(t) for t in new.values()])))
                 for rate, near in map(memory.get, keys):
                     scores.append(rate)
                     evidence.append([{"doc_id": d, "cosine": c, "toxic": v} for d, c, v in near])

@@ -350,6 +350,41 @@ def test_toxicity_rows_match_brute_force_over_whole_texts(spark):
         assert [(e.doc_id, e.toxic) for e in got[i].evidence] == [(j, marks[j]) for _, j in near[:3]]
 
 
+def test_toxicity_looks_each_term_up_once():
+    """One lookup for a different term of a text, whatever it weighs; weights and neighbours as by plain Python."""
+    rng = np.random.default_rng(8)
+    tfs = [Counter(b"w%d" % w for w in rng.zipf(1.3, 30) if w < 200) for _ in range(300)]
+    idf = {t: 1 + rng.random() for tf in tfs for t in tf}
+    model = toxicity.ToxicityModel([(i, i % 2, tf) for i, tf in enumerate(tfs)], idf, (150, 150))
+    assert not any(isinstance(held, dict) for held in vars(model).values())
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+        __getitem__ = __contains__ = None
+
+    def unit(tf):
+        v = {t: (1 + math.log(n)) * idf[t] for t, n in tf.items() if t in idf}
+        return {t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()}
+
+    units, texts = [unit(tf) for tf in tfs], [list(tf.elements()) + [b"unknown"] for tf in tfs[:100]] + [[], [b"unknown"]]
+    model.index.terms = Counted(model.index.terms)
+    scored = model.score_of(texts)
+    assert Counted.asked == sum(len(set(words)) for words in texts)
+    assert scored[100:] == [(model.blank, []), (model.blank, [])]
+    for words, (score, evidence) in zip(texts[:100], scored):
+        v = unit(Counter(words))
+        near = sorted((-round(sum(w * u.get(t, 0) for t, w in v.items()), 12), j) for j, u in enumerate(units))
+        near = [(-c, j) for c, j in near if c < 0][: toxicity.NEIGHBOURS]
+        assert [j for j, _, _ in evidence] == [j for _, j in near[:3]]
+        votes = sum(c * c * (j % 2) for c, j in near), sum(c * c for c, j in near)
+        assert score == pytest.approx((model.prior + votes[0]) / (1 + votes[1]))
+
+
 @pytest.mark.parametrize("name, label", [("op1_quality_classifier", "quality"), ("op7_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
     sf = "/root/testdata/sf0.01"
